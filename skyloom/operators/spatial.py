@@ -248,8 +248,8 @@ def _probe_cells(probes: DataFrame, radius_m: float, cell: float) -> DataFrame:
     spread = spread.withColumn("_west", west).withColumn(
         "_east", F.least(east, F.col("_west") + F.col("_n") - 1)
     )
-    columns = F.explode(F.sequence("_west", "_east"))
-    spread = spread.withColumn("_ix", F.pmod(columns, F.col("_n")))
+    columns = F.transform(F.sequence("_west", "_east"), lambda c: F.pmod(c, F.col("_n")))
+    spread = spread.withColumn("_ix", F.explode(columns))
     return spread.drop("_n", "_dlon", "_west", "_east")
 
 

@@ -7,7 +7,7 @@ depend on regions take ``edges`` (from ``polygon_edges``) or a stored ``located`
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from skyloom.functions.scalar import (
@@ -278,7 +278,7 @@ def daily_avg_at_location(
 ) -> DataFrame:
     """Mean value per day at a location."""
     near = distance_filter(time_range(readings, time_col, t_from, t_to), lon, lat, radius_m)
-    day = F.date_trunc("day", time_col).cast(T.TimestampNTZType()).alias("day")
+    day = F.to_date(time_col).cast("timestamp_ntz").alias("day")
     return near.groupBy(day).agg(F.avg(metric_column(metric)).alias("avg_value"))
 
 

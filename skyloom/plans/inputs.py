@@ -44,7 +44,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per event; a user is a sensor on a quarter-degree grid."""
     user, event, value = F.col("user_id"), F.col("event_id"), F.col("value")
     return table(spark, sf_dir, "events").select(
-        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("measurement_time"),
+        F.to_date("ts").cast("timestamp_ntz").alias("measurement_time"),
         F.col("ts").alias("reading_ts"),
         (F.lit(5.75) + F.lit(0.25) * (user % 37)).alias("lon"),
         (F.lit(47.25) + F.lit(0.25) * (user % 29)).alias("lat"),
