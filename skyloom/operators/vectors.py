@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import (
     BucketedRandomProjectionLSH,
     BucketedRandomProjectionLSHModel,
@@ -15,12 +16,17 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+import skyloom
 from skyloom.functions.scalar import normalize_query_text
 from skyloom.functions.text import analyze_english
 from skyloom.operators.joins import MAX_BROADCAST_ROWS, fits, salted_join
 from skyloom.operators.ranking import check_k, top_k_by_score, top_k_per_group
 
+# Task functions travel with their code, so workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(skyloom)
+
 METRICS = ("euclidean", "cosine")
 SCORE_DIGITS = 6
 MAX_QUERIES = 4096
@@ -141,8 +147,6 @@ def _task_candidates(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     scan = _nearest_in_task(query_ids, np.asarray(vectors, dtype=np.float64), k, metric, to_arrow_schema(out))
     stored = df.where(F.col(vec).isNotNull()).select(id_col, vec)
     return stored.mapInArrow(scan, out)
