@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Mean earth radius in metres, fixed value.
@@ -15,10 +17,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _point(lon: Column, lat: Column) -> Column:
     """A point struct, or null when either coordinate is missing or off the globe."""
-    valid = lon.between(-180.0, 180.0) & lat.between(-90.0, 90.0)
-    return F.when(valid, F.struct(lon.alias("lon"), lat.alias("lat")))
+
+    def valid(p: Column) -> Column:
+        return (F.abs(p["lon"]) <= 180.0) & (F.abs(p["lat"]) <= 90.0)
+
+    return _let(F.struct(lon.alias("lon"), lat.alias("lat")), lambda p: F.when(valid(p), p))
 
 
 def make_point(lon: Column | str, lat: Column | str) -> Column:
@@ -40,20 +50,25 @@ def format_wkt_point(lon: Column | str, lat: Column | str) -> Column:
     )
 
 
+def _pair(parts: Column) -> Column:
+    """First two elements as a point when there are exactly two."""
+    return _let(
+        parts,
+        lambda p: F.when(
+            F.size(p) == 2,
+            _point(F.get(p, F.lit(0)).try_cast("double"), F.get(p, F.lit(1)).try_cast("double")),
+        ),
+    )
+
+
 def parse_point_text(text: Column | str) -> Column:
     """``(x,y)`` or ``[x,y]`` to a point; other lengths and bad numbers give null."""
-    parts = F.split(F.regexp_replace(_col(text), r"^[\s(\[]+|[\s)\]]+$", ""), ",")
-    lon = F.trim(F.get(parts, F.lit(0))).try_cast("double")
-    lat = F.trim(F.get(parts, F.lit(1))).try_cast("double")
-    return F.when(F.size(parts) == 2, _point(lon, lat))
+    return _pair(F.split(F.regexp_replace(_col(text), r"^[\s(\[]+|[\s)\]]+$", ""), r"\s*,\s*"))
 
 
 def point_from_array(pair: Column | str) -> Column:
     """A two-element number array to a point; other lengths give null."""
-    pair = _col(pair)
-    lon = F.get(pair, F.lit(0)).cast("double")
-    lat = F.get(pair, F.lit(1)).cast("double")
-    return F.when(F.size(pair) == 2, _point(lon, lat))
+    return _pair(_col(pair))
 
 
 def longitude(point: Column | str) -> Column:

@@ -1,4 +1,10 @@
-"""Joins of a large table with a smaller one: size-checked broadcast, salted shuffle beyond it."""
+"""Joins of a large table with a smaller one: size-checked broadcast, skew-safe shuffle beyond it.
+
+Two shuffle forms stand behind the broadcast. Where the smaller side may itself be large (locations, places),
+repeating it would cost more than it saves: the join is left plain, and adaptive execution splits an
+oversized partition of the large side. Where the smaller side stays small next to the other (query terms,
+edges of regions), keys are salted.
+"""
 
 from __future__ import annotations
 
@@ -49,9 +55,10 @@ def dimension_join(
     on: list[str],
     how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``fact`` with ``dim``: broadcast after a row count, salted shuffle when it is too large."""
-    if fits(dim, max_rows):
-        return fact.join(F.broadcast(dim), on, how)
-    return salted_join(fact, dim, on, how, salts)
+    """Join ``fact`` with ``dim``: broadcast after a row count, otherwise shuffled.
+
+    A key that holds a large share of ``fact`` makes one shuffle partition oversized; adaptive execution
+    (``spark.sql.adaptive.skewJoin.enabled``, on by default) reads it in many tasks.
+    """
+    return fact.join(F.broadcast(dim) if fits(dim, max_rows) else dim, on, how)

@@ -53,27 +53,48 @@ def distinct_locations(readings: DataFrame, lon: str = "lon", lat: str = "lat")
     return known.select(F.col(lon).alias("lon"), F.col(lat).alias("lat")).distinct()
 
 
-def _region_cells(edges: DataFrame, name: str, cell_deg: float) -> DataFrame:
-    boxes = edges.groupBy(name).agg(
+def _region_boxes(edges: DataFrame, name: str, *more: Column) -> DataFrame:
+    return edges.groupBy(name).agg(
         F.min(F.least("x1", "x2")).alias("xmin"),
         F.max(F.greatest("x1", "x2")).alias("xmax"),
         F.min(F.least("y1", "y2")).alias("ymin"),
         F.max(F.greatest("y1", "y2")).alias("ymax"),
+        *more,
     )
 
+
+def _steps(low: Column, high: Column, size: float) -> tuple[Column, Column]:
+    """First and last grid step of an interval."""
+    return F.floor(low / size), F.floor(high / size)
+
+
+def _region_cells(edges: DataFrame, name: str, cell_deg: float) -> DataFrame:
+    """Each region's box once per grid cell it touches."""
+
     def span(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / cell_deg), F.floor(F.col(high) / cell_deg)))
+        return F.explode(F.sequence(*_steps(F.col(low), F.col(high), cell_deg)))
 
+    boxes = _region_boxes(edges, name)
     return boxes.withColumn("cx", span("xmin", "xmax")).withColumn("cy", span("ymin", "ymax"))
 
 
 def _edge_bands(edges: DataFrame, name: str, band_deg: float) -> DataFrame:
+    """Each sloped edge once per latitude band it touches."""
     sloped = edges.where(F.col("y1") != F.col("y2")).select(name, "x1", "y1", "x2", "y2")
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    bands = F.sequence(F.floor(low / band_deg), F.floor(high / band_deg))
+    bands = F.sequence(*_steps(F.least("y1", "y2"), F.greatest("y1", "y2"), band_deg))
     return sloped.withColumn("band", F.explode(bands))
 
 
+def _spread_rows(edges: DataFrame, name: str, cell_deg: float, band_deg: float) -> int:
+    """Rows of ``_region_cells`` and ``_edge_bands`` together, without building them."""
+    first, last = _steps(F.least("y1", "y2"), F.greatest("y1", "y2"), band_deg)
+    boxes = _region_boxes(edges, name, F.sum(last - first + 1).alias("bands"))
+    west, east = _steps(F.col("xmin"), F.col("xmax"), cell_deg)
+    south, north = _steps(F.col("ymin"), F.col("ymax"), cell_deg)
+    rows = F.col("bands") + (east - west + 1) * (north - south + 1)
+    return boxes.agg(F.coalesce(F.sum(rows), F.lit(0))).head()[0]
+
+
 def locate_regions(
     locations: DataFrame,
     edges: DataFrame,
@@ -96,8 +117,8 @@ def locate_regions(
     cells = _region_cells(edges, name, cell_deg)
     bands = _edge_bands(edges, name, band_deg)
     if strategy == "auto":
-        sizes = cells.select(F.lit(1)).unionAll(bands.select(F.lit(1)))
-        strategy = "broadcast" if fits(sizes, max_broadcast_rows) else "grid"
+        small = _spread_rows(edges, name, cell_deg, band_deg) <= max_broadcast_rows
+        strategy = "broadcast" if small else "grid"
 
     def join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         if strategy == "broadcast":
@@ -120,7 +141,7 @@ def locate_regions(
     return counts.where(F.col("crossings") % 2 == 1).drop("crossings")
 
 
-def _located(points: DataFrame, edges: DataFrame | None, located: DataFrame | None, **kw) -> DataFrame:
+def located_or_new(points: DataFrame, edges: DataFrame | None, located: DataFrame | None, **kw) -> DataFrame:
     """The caller's location table, or a fresh one stored so the join back can count it."""
     if located is not None:
         return located
@@ -140,7 +161,7 @@ def within_join(
     Containment is tested once per distinct location. ``located`` (from ``locate_regions``) may be
     stored and passed in to skip the test.
     """
-    return dimension_join(points, _located(points, edges, located, **kw), ["lon", "lat"])
+    return dimension_join(points, located_or_new(points, edges, located, **kw), ["lon", "lat"])
 
 
 def region_locations(located: DataFrame, region: str = "ALL", name: str = "region_name") -> DataFrame:
@@ -158,7 +179,7 @@ def within_semi(
     **kw,
 ) -> DataFrame:
     """Points inside any region (or the named one), each once."""
-    places = region_locations(_located(points, edges, located, **kw), region)
+    places = region_locations(located_or_new(points, edges, located, **kw), region)
     return dimension_join(points, places, ["lon", "lat"], "left_semi")
 
 
@@ -169,7 +190,7 @@ def outside_anti(
     **kw,
 ) -> DataFrame:
     """Points inside no region: the complement of ``within_semi``."""
-    places = region_locations(_located(points, edges, located, **kw))
+    places = region_locations(located_or_new(points, edges, located, **kw))
     return dimension_join(points, places, ["lon", "lat"], "left_anti")
 
 
@@ -235,7 +256,9 @@ def _row_cells(row: Column, cell: float) -> tuple[Column, Column]:
 def _probe_cells(probes: DataFrame, radius_m: float, cell: float) -> DataFrame:
     """Probes repeated for each grid cell their radius can reach."""
     half_angle = min(radius_m / EARTH_RADIUS_M / 2, math.pi / 2)
-    rows = F.explode(F.sequence(_grid_row(F.col("lat"), cell) - 1, _grid_row(F.col("lat"), cell) + 1))
+    reach = _reach_deg(radius_m)
+    first, last = _grid_row(F.col("lat") - reach, cell), _grid_row(F.col("lat") + reach, cell)
+    rows = F.explode(F.sequence(first, last))
     spread = probes.withColumn("_iy", rows)
     n, cosine = _row_cells(F.col("_iy"), cell)
     ratio = F.lit(math.sin(half_angle)) / F.sqrt(F.cos(F.radians("lat")) * cosine)
@@ -260,14 +283,16 @@ def proximity_batch(
     value: str = "temperature",
     time_col: str = "measurement_time",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Many ``(probe_id, lon, lat, probe_time)`` probes in one job: each with ``min_t`` and ``max_t``.
 
     Readings meet probes on ``(time, grid cell)``; cell width follows the latitude and wraps at 180
-    degrees. Probes without a match keep nulls.
+    degrees. Probes without a match keep nulls. Too many probes for a broadcast are joined with readings
+    already reduced to one row per time and location, so many readings at one place are one row.
     """
-    cell = _reach_deg(radius_m)
+    # Cells of a few metres would repeat each probe nine times; ten times the radius seldom repeats it.
+    reach = _reach_deg(radius_m)
+    cell = max(reach, min(10 * reach, 0.01))
     probes = probes.select("probe_id", "lon", "lat", "probe_time")
     cells = _probe_cells(probes, radius_m, cell).select(
         "probe_id",
@@ -291,7 +316,7 @@ def proximity_batch(
     rows = rows.withColumn("_ix", F.pmod(F.floor((F.col("lon") + 180.0) / (360.0 / n)), n))
 
     on = ["_time", "_iy", "_ix"]
-    met = rows.join(F.broadcast(cells), on) if small else salted_join(rows, cells, on, salts=salts)
+    met = rows.join(F.broadcast(cells) if small else cells, on)
     met = met.where(geo_distance("lon", "lat", "_plon", "_plat") < radius_m)
     hits = met.select(
         "probe_id",

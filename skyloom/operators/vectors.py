@@ -218,12 +218,13 @@ def fit_lsh(
 
 
 def lsh_buckets(model: BucketedRandomProjectionLSHModel, df: DataFrame, id_col: str, vec: str) -> DataFrame:
-    """One row per vector and hash table: ``(id, vec, table, bucket)``. May be stored as the index."""
+    """One row per vector with its bucket in every hash table: ``(id, vec, buckets)``. May be stored as the index."""
     vectors = df.where(F.col(vec).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(vec).alias("vec"), array_to_vector(vec).alias("_vector")
     )
-    hashed = model.transform(vectors).select("id", "vec", F.posexplode("_hashes").alias("table", "_hash"))
-    return hashed.select("id", "vec", "table", F.get(vector_to_array("_hash"), F.lit(0)).cast("bigint").alias("bucket"))
+    tables = range(model.getNumHashTables())
+    numbers = [F.get(vector_to_array(F.get("_hashes", F.lit(i))), F.lit(0)).cast("bigint") for i in tables]
+    return model.transform(vectors).select("id", "vec", F.array(*numbers).alias("buckets"))
 
 
 def knn_ann(
@@ -235,14 +236,16 @@ def knn_ann(
 ) -> DataFrame:
     """Approximate ``knn_batch`` (Euclidean): only vectors that share a hash bucket with a query compete."""
     check_k(k)
+    in_tables = F.posexplode("buckets").alias("table", "bucket")
     probes = lsh_buckets(model, queries, "query_id", "query_vec").select(
-        F.col("id").alias("query_id"), F.col("vec").alias("query_vec"), "table", "bucket"
+        F.col("id").alias("query_id"), F.col("vec").alias("query_vec"), in_tables
     )
+    stored = buckets.select("id", "vec", in_tables)
     on = ["table", "bucket"]
     if fits(probes, max_broadcast_rows):
-        pairs = buckets.join(F.broadcast(probes), on)
+        pairs = stored.join(F.broadcast(probes), on)
     else:
-        pairs = salted_join(buckets, probes, on)
+        pairs = salted_join(stored, probes, on)
     gaps = F.zip_with("vec", "query_vec", lambda a, b: a.cast("double") - b.cast("double"))
     distance = F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g * g)
     near = pairs.select("query_id", "id", distance.alias("distance")).groupBy("query_id", "id").agg(

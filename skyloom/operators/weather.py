@@ -16,22 +16,15 @@ from skyloom.functions.scalar import (
     wind_direction,
     wind_speed,
 )
+from skyloom.operators.joins import dimension_join
 from skyloom.operators.spatial import (
     distance_filter,
-    distinct_locations,
+    located_or_new,
     location_join,
     region_locations,
-    within_join,
     within_semi,
 )
 
-__all__ = [
-    "daily_avg_at_location", "distinct_locations", "distinct_times", "extreme_place", "hourly_agg",
-    "last_measurement_time", "latest_epoch", "latest_epoch_in_range", "latest_gauge", "metric_column",
-    "metric_snapshot", "minavgmax_for_region", "minavgmax_total", "rank_places", "region_locations",
-    "region_names", "region_or_all", "region_snapshot", "region_snapshot_all", "time_equals", "time_range",
-]
-
 TIME = "measurement_time"
 METRICS = ("temperature", "pressure", "wind_speed")
 
@@ -91,6 +84,11 @@ def region_names(regions: DataFrame, name: str = "region_name") -> DataFrame:
     return regions.where(F.col(name).isNotNull()).select(name)
 
 
+def _at_named_places(readings: DataFrame, located: DataFrame, geo_points: DataFrame) -> DataFrame:
+    """Readings at located and named places. The small tables meet first, so readings are joined once."""
+    return dimension_join(readings, location_join(located, geo_points), ["lon", "lat"])
+
+
 def _snapshot_columns(df: DataFrame, *first: str) -> DataFrame:
     return df.select(
         *first,
@@ -111,12 +109,11 @@ def region_snapshot(
     partition_col: str | None = None,
 ) -> DataFrame:
     """Temperature in Celsius at every named location of a region at the latest epoch of all readings."""
-    latest = latest_epoch(readings, TIME, partition_col)
     if edges is not None:
         edges = region_or_all(edges, region)
-    if located is not None:
-        located = region_or_all(located, region)
-    return _snapshot_columns(location_join(within_join(latest, edges, located), geo_points))
+    latest = latest_epoch(readings, TIME, partition_col)
+    chosen = region_or_all(located_or_new(latest, edges, located), region)
+    return _snapshot_columns(_at_named_places(latest, chosen, geo_points))
 
 
 def region_snapshot_all(
@@ -127,8 +124,9 @@ def region_snapshot_all(
     partition_col: str | None = None,
 ) -> DataFrame:
     """``region_snapshot`` of every region in one job, with the region's name."""
-    inside = within_join(latest_epoch(readings, TIME, partition_col), edges, located)
-    return _snapshot_columns(location_join(inside, geo_points), "region_name")
+    latest = latest_epoch(readings, TIME, partition_col)
+    places = located_or_new(latest, edges, located)
+    return _snapshot_columns(_at_named_places(latest, places, geo_points), "region_name")
 
 
 def _min_avg_max(metric: str) -> list[Column]:
@@ -185,8 +183,11 @@ def metric_snapshot(
     located: DataFrame | None = None,
 ) -> DataFrame:
     """Value per location at the latest epoch in range; ``wind`` gives speed and direction."""
+    if edges is not None:
+        edges = region_or_all(edges, region)
     latest = latest_epoch_in_range(readings, t_from, t_to)
-    named = location_join(_in_region(latest, edges, region, located), geo_points)
+    places = region_locations(located_or_new(latest, edges, located), region)
+    named = _at_named_places(latest, places, geo_points)
     if metric == "wind":
         values = [
             wind_speed("u10", "v10").alias("wind_speed"),
