@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom.functions.sql import register_sql_functions
-from skyloom.plans import panels
+from skyloom.operators import spatial
+from skyloom.plans import inputs, panels
+from skyloom.plans.queries import QUERIES
 
 DASHBOARD = {
     "title": "Weather",
@@ -125,3 +127,31 @@ def test_sql_functions(spark):
     ).head()
     assert row.d == pytest.approx(111_195.08, rel=1e-6)
     assert tuple(row)[1:] == (0.0, 0.0, 0.0, 5.0, 0.0)
+
+
+def test_three_table_query_in_sql(spark):
+    """Ad-hoc SQL in the terms of the data model gives what the operator gives."""
+    register_sql_functions(spark)
+    sf = "/root/testdata/sf0.001"
+    point = F.struct("lon", "lat").alias("geo_location")
+    readings = inputs.readings(spark, sf)
+    readings.select("measurement_time", point, F.struct("temperature").alias("data")).createOrReplaceTempView("climate_data")
+    inputs.regions(spark).createOrReplaceTempView("german_regions")
+    inputs.geo_points(spark, sf).select(point, "nearest_town").createOrReplaceTempView("geo_points")
+    got = panels.query_sql(
+        spark,
+        "SELECT d.measurement_time AS time, latitude(d.geo_location) AS latitude, longitude(d.geo_location) AS longitude, "
+        "round(kelvin_to_celsius(d.data.temperature), 6) AS temperature, gp.nearest_town "
+        "FROM climate_data d, german_regions r, geo_points gp WHERE within(d.geo_location, r.geo_coords) "
+        "AND gp.geo_location = d.geo_location AND r.region_name = :region "
+        "AND d.measurement_time = (SELECT max(d2.measurement_time) FROM climate_data d2)",
+        {"region": "Concave"},
+    )
+    expected = QUERIES["region_snapshot"](spark, sf)
+    assert got.count() > 0
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    near = spark.sql(
+        "SELECT min(data.temperature) AS min_t, max(data.temperature) AS max_t FROM climate_data "
+        "WHERE distance(geo_location, geo_point('POINT(7.75 49.25)')) < 1 AND measurement_time = '2024-01-10'"
+    ).head()
+    assert tuple(near) == tuple(spatial.proximity_minmax(readings, 7.75, 49.25, "2024-01-10").head())
