@@ -6,6 +6,10 @@ from pyspark.sql import Column, functions as F
 
 # Zero Celsius in Kelvin, fixed value.
 ZERO_CELSIUS_K = 273.15
+# A template variable, a run that separates words, and the name of an empty title, fixed values.
+VARIABLE_PATTERN = r"\$\{?(\w+)\}?"
+SEPARATOR_PATTERN = "[^A-Za-z0-9]+"
+EMPTY_SLUG = "panel"
 
 
 def _col(c: Column | str) -> Column:
@@ -51,10 +55,10 @@ def normalize_query_text(text: Column | str) -> Column:
 
 def slugify(title: Column | str) -> Column:
     """Title to identifier: variables lose ``$`` and ``{}``, other runs become one ``_``."""
-    bare = F.regexp_replace(_col(title), r"\$\{?(\w+)\}?", "$1")
-    words = F.regexp_replace(bare, "[^A-Za-z0-9]+", "_")
+    bare = F.regexp_replace(_col(title), VARIABLE_PATTERN, "$1")
+    words = F.regexp_replace(bare, SEPARATOR_PATTERN, "_")
     slug = F.lower(F.regexp_replace(words, "^_+|_+$", ""))
-    return F.when(slug == "", "panel").otherwise(slug)
+    return F.when(slug == "", EMPTY_SLUG).otherwise(slug)
 
 
 def tail_position(percentile: Column | str) -> Column:

@@ -14,6 +14,7 @@ from skyloom.functions.text import analyze_english
 from skyloom.operators.joins import MAX_BROADCAST_ROWS, fits, materialize, salted_join
 from skyloom.operators.ranking import check_k, top_k_by_score, top_k_per_group
 
+# BM25 parameters, fixed values.
 K1 = 1.2
 B = 0.75
 SCORE_DIGITS = 6

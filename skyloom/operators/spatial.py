@@ -194,13 +194,21 @@ def outside_anti(
     return dimension_join(points, places, ["lon", "lat"], "left_anti")
 
 
-def location_join(readings: DataFrame, geo_points: DataFrame, how: str = "inner") -> DataFrame:
-    """Readings with the named point at their location, matched on micro-degrees."""
+def location_join(
+    readings: DataFrame, geo_points: DataFrame, how: str = "inner", counted: bool = True
+) -> DataFrame:
+    """Readings with the named point at their location, matched on micro-degrees.
+
+    ``counted`` counts the points to broadcast them next to large readings; without it Spark chooses by its
+    own size estimate, which saves a job where both sides are modest.
+    """
     named = geo_points.select(
         location_key("lon").alias("_kx"), location_key("lat").alias("_ky"), "nearest_town"
     )
-    keyed = readings.withColumn("_kx", location_key("lon")).withColumn("_ky", location_key("lat"))
-    return dimension_join(keyed, named, ["_kx", "_ky"], how).drop("_kx", "_ky")
+    keyed = readings.withColumns({"_kx": location_key("lon"), "_ky": location_key("lat")})
+    on = ["_kx", "_ky"]
+    joined = dimension_join(keyed, named, on, how) if counted else keyed.join(named, on, how)
+    return joined.drop(*on)
 
 
 def _reach_deg(radius_m: float) -> float:

@@ -86,7 +86,7 @@ def region_names(regions: DataFrame, name: str = "region_name") -> DataFrame:
 
 def _at_named_places(readings: DataFrame, located: DataFrame, geo_points: DataFrame) -> DataFrame:
     """Readings at located and named places. The small tables meet first, so readings are joined once."""
-    return dimension_join(readings, location_join(located, geo_points), ["lon", "lat"])
+    return dimension_join(readings, location_join(located, geo_points, counted=False), ["lon", "lat"])
 
 
 def _snapshot_columns(df: DataFrame, *first: str) -> DataFrame:

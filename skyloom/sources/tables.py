@@ -19,9 +19,10 @@ def _parse_point(text: Column) -> Column:
 
 
 def _parse_time(text: Column) -> Column:
-    """Epoch milliseconds or ISO text."""
-    millis = F.timestamp_millis(text.try_cast("bigint")).cast("timestamp_ntz")
-    return F.coalesce(millis, text.try_cast("timestamp_ntz"))
+    """Epoch milliseconds or ISO text, without regard to the session's time zone."""
+    seconds = (text.try_cast("decimal(17,0)") / 1000).try_cast("decimal(18,6)")
+    since_epoch = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.coalesce(since_epoch, text.try_cast("timestamp_ntz"))
 
 
 def dynamic_object(df: DataFrame, json_col: str, declared: T.StructType, extra: str | None = None) -> DataFrame:
