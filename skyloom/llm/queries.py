@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import mixing, oracle, token_counts
+from skyloom.llm import mixing, oracle, simhash, token_counts
 from skyloom.llm.work import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )

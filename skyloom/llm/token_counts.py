@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from skyloom.llm.work import map_arrow
+
 BATCH_BYTES = 1 << 20
 CUT_CHARS = 1 << 16
 KNOWN_WORDS = 1_000_000
@@ -152,5 +154,5 @@ def token_counts(
     schema = T.StructType(
         [rows.schema["id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
     )
-    counted = rows.mapInArrow(partial(_count, content=content, batch_bytes=batch_bytes), schema)
+    counted = map_arrow(rows, partial(_count, content=content, batch_bytes=batch_bytes), schema)
     return counted.withColumnRenamed("id", id_col)

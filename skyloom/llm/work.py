@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 import zlib
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import skyloom
+
 from skyloom.session import new_work_path
 
 # What str.split() and bytes.split() call white space in the contracts: U+0020 and U+0009 to U+000D.
@@ -17,6 +23,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors, once for each application, as ``--py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(skyloom.__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="skyloom-"), "skyloom.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.join("skyloom", os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
+
+
+def map_arrow(df: DataFrame, f: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with a function of this library."""
+    ship(df.sparkSession)
+    return df.mapInArrow(f, schema)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared work folder and read back.
 
