@@ -40,3 +40,22 @@ SELECT doc_id, size, source_size, target,
   ((floor(u + e * place) - floor(u + e * (place - 1)))::BIGINT * size)::BIGINT AS taken
 FROM k
 """
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98
+), r AS (
+  SELECT vec_id AS id, vec_id AS reached FROM embeddings
+  UNION
+  SELECT r.id, p.b FROM r JOIN p ON r.reached = p.a
+), c AS (SELECT id, min(reached) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.id = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""

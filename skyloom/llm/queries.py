@@ -7,12 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import mixing, oracle, simhash, token_counts
+from skyloom.llm import ann, embedding_dedup, mixing, oracle, simhash, token_counts
 from skyloom.llm.work import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {"op8_mixing": oracle.MIXING}
+ORACLE: dict[str, str] = {"op8_mixing": oracle.MIXING, "op9_embedding_dedup": oracle.EMBEDDING_DEDUP}
 
 
 def query(f: Query) -> Query:
@@ -43,3 +43,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@query
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
