@@ -59,3 +59,46 @@ n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
 SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN c ON c.id = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+# The short notices as patterns over words joined by spaces; the long texts do not occur in the tables' words, and
+# are matched by their first and last words with everything between.
+LICENSES = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), j AS (
+  SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS t FROM d
+), p AS (
+  SELECT doc_id, w, t,
+    list_filter(range(0, len(w)), lambda i: (w[i + 1] = 'mit' AND w[i + 2] = 'license')
+      OR (w[i + 1] = 'apache' AND w[i + 2] = 'license')
+      OR (w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license')) AS places,
+    list_filter([
+      CASE WHEN contains(t, ' apache license ') THEN 'apache' END,
+      CASE WHEN contains(t, ' general public license ') THEN 'gpl' END,
+      CASE WHEN contains(t, ' mit license ') THEN 'mit' END], lambda x: x IS NOT NULL) AS base,
+    list_filter([
+      CASE WHEN regexp_matches(t, ' licensed under the apache license (version )?2 0 ')
+        THEN 'apache-2.0-notice' END,
+      CASE WHEN regexp_matches(t, ' licensed under the apache license version 2 0 the license you may not use this .* either express or implied ')
+        THEN 'apache-2.0-header' END,
+      CASE WHEN regexp_matches(t, ' redistribution and use in source and binary forms .* contributors may be used ')
+        THEN 'bsd-3-clause-text' END,
+      CASE WHEN regexp_matches(t, ' licensed under (the )?(creative commons )?cc by nc 4 0 ')
+        THEN 'cc-by-nc-4.0-notice' END,
+      CASE WHEN regexp_matches(t, ' licensed under the (terms of the )?gnu general public license (version )?3 ')
+        THEN 'gpl-3.0-notice' END,
+      CASE WHEN regexp_matches(t, '[^ ] under the (terms of the )?mit license ') THEN 'mit-notice' END,
+      CASE WHEN regexp_matches(t, ' permission is hereby granted free of charge .* substantial portions of the software ')
+        THEN 'mit-text' END], lambda x: x IS NOT NULL) AS more
+  FROM j
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places) AS first_word,
+  list_max(places) AS last_word, array_to_string(base, ',') AS base_labels,
+  array_to_string(list_sort(list_concat(base, more)), ',') AS labels,
+  CASE WHEN len(more) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+FROM p
+"""

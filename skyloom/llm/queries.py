@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import ann, embedding_dedup, mixing, oracle, simhash, token_counts
+from skyloom.llm import ann, embedding_dedup, language_id, licenses, mixing, oracle, simhash, token_counts
 from skyloom.llm.work import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {"op8_mixing": oracle.MIXING, "op9_embedding_dedup": oracle.EMBEDDING_DEDUP}
+ORACLE: dict[str, str] = {
+    "op7_license_scan": oracle.LICENSES,
+    "op8_mixing": oracle.MIXING,
+    "op9_embedding_dedup": oracle.EMBEDDING_DEDUP,
+}
 
 
 def query(f: Query) -> Query:
@@ -55,3 +59,13 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
