@@ -20,7 +20,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
 SEED = "mix-1"
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4096
 
 
 def _unit(text: Column) -> Column:
@@ -64,8 +64,9 @@ def mix(
     source_col: str = "source",
     seed: str = SEED,
     bucket_rows: int = BUCKET_ROWS,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """``docs`` as a struct column ``row`` with ``size``, ``source_size``, ``target`` and ``copies``.
+    """``columns`` of ``docs`` (all by default) as a struct ``row``, with ``size``, ``source_size``, ``target`` and ``copies``.
 
     ``copies`` is 0, 1 or 2 with the default cap. A null text has size 0; a null source is a source of its own;
     repeated rows are mixed like any others and may differ in their copies. An empty table gives an empty result.
@@ -96,7 +97,7 @@ def mix(
         "mix-starts",
     )
     rows = bucketed(docs).select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in columns or names]).alias("row"),
         F.col(source).alias("_source"), F.col(bucket).alias("_bucket"), F.col(targeted).alias("_t"),
         size.alias("size"), F.col(id_col).alias("_id"),
     )

@@ -28,7 +28,7 @@ WITH d AS (
 ), b AS (
   SELECT d.*, t.source_size, t.target,
     floor((('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE)
-      * ceil(t.n / 50000.0::DOUBLE))::BIGINT AS bucket,
+      * ceil(t.n / 4096.0::DOUBLE))::BIGINT AS bucket,
     ('0x' || substr(md5('mix-1:' || coalesce(d.source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), k AS (

@@ -34,7 +34,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return mixed.select(
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target",
         (F.col("copies") * F.col("size")).alias("taken"),
