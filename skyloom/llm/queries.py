@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import ann, embedding_dedup, language_id, licenses, mixing, oracle, simhash, token_counts
+from skyloom.llm import ann, embedding_dedup, language_id, licenses, mixing, oracle, quality, simhash, token_counts, toxicity
 from skyloom.llm.work import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,13 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
