@@ -118,7 +118,7 @@ def indicators(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key >> BITS, key & ((1 << BITS) - 1)
 
 
-def _texts(column: pa.Array) -> list[bytes]:
+def _texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [(t or "").encode() for t in column.to_pylist()]
 
 
@@ -219,34 +219,30 @@ class Model:
         return self.curve.score(np.concatenate(parts)[:, None]) if parts else np.zeros(0)
 
 
-def _fit(rows: pa.Table, ratio: np.ndarray, prior: float) -> pa.Table:
-    """The model of the whole (bounded) sample, pickled."""
-    import pickle
-
+def _fit(rows: pa.Table, ratio: np.ndarray) -> pa.Table:
+    """Weights from the rows of part 0 of the (bounded) sample, and the margins of the other rows."""
     label, part = rows.column("label").to_numpy(), rows.column("part").to_numpy()
     texts = _texts(rows.column("text"))
     fit, rest = np.flatnonzero(part == 0), np.flatnonzero(part == 1)
-    if not len(rest):
-        rest = fit
     y = np.where(label[fit] == 1, 1.0, -1.0)
-    model = None
-    if len(set(label[fit])) == 2 and len(set(label[rest])) == 2:
-        start, feature, value = _scaled([texts[i] for i in fit], ratio)
-        weight = len(y) / 2 / np.where(y > 0, (y > 0).sum(), (y < 0).sum())
-        model = Model(ratio, dual_coordinate_descent(start, feature, value, y, weight, 1 << BITS))
-        t = label[rest].astype(float)
-        share = np.where(t == 1, prior / t.mean(), (1 - prior) / (1 - t.mean()))
-        model.curve = Logistic(model.margins([texts[i] for i in rest])[:, None], t, share)
-    return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+    start, feature, value = _scaled([texts[i] for i in fit], ratio)
+    weight = len(y) / 2 / np.where(y > 0, max(1, (y > 0).sum()), max(1, (y < 0).sum()))
+    model = Model(ratio, dual_coordinate_descent(start, feature, value, y, weight, 1 << BITS))
+    margins = model.margins([texts[i] for i in rest])
+    return pa.table(
+        {
+            "weight": pa.array([model.weight.tobytes()], pa.binary()), "bias": [model.bias],
+            "margins": pa.array([margins.tolist()], pa.list_(pa.float64())),
+            "labels": pa.array([label[rest].tolist()], pa.list_(pa.int32())),
+        }
+    )
 
 
 def train(rows: DataFrame) -> Model | None:
-    """A model from (id, text, label) rows; None unless both classes are there.
+    """A model from (id, text, label) rows; None unless both classes are there, also to calibrate on.
 
     The linear model is fitted in one task, on at most ``CLASS_ROWS`` rows of each class.
     """
-    import pickle
-
     ratio = log_count_ratios(rows)
     if ratio is None:
         return None
@@ -258,10 +254,19 @@ def train(rows: DataFrame) -> Model | None:
     shared = spark.sparkContext.broadcast(ratio)
 
     def fit(rows: pa.Table) -> pa.Table:
-        return _fit(rows.sort_by("id"), shared.value, prior)
+        return _fit(rows.sort_by("id"), shared.value)
 
-    found = chosen.groupBy(F.lit(0)).applyInArrow(fit, "model binary").collect()
-    return pickle.loads(found[0].model) if found else None
+    schema = "weight binary, bias double, margins array<double>, labels array<int>"
+    found = chosen.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(fit, schema).collect()
+    if not found or len(set(found[0].labels)) < 2:
+        return None
+    weight = np.frombuffer(bytes(found[0].weight), np.float32)
+    model = Model(ratio, np.zeros(len(weight) + 1))
+    model.weight, model.bias = weight, found[0].bias
+    y = np.array(found[0].labels, float)
+    share = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
+    model.curve = Logistic(np.array(found[0].margins)[:, None], y, share)
+    return model
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
