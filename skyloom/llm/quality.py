@@ -29,6 +29,8 @@ COST, PASSES, SMOOTHING = 1.0, 20, 1.0
 CHUNK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+# One feature for any token that follows itself.
+_TWICE = np.uint64(0x5851F42D4C957F2D)
 
 
 def _classes() -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +89,8 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         starts, h = tokens(data)
         owner = np.array(owners)[np.searchsorted(ends, starts, "right")]
         pair = owner[1:] == owner[:-1]
-        both = _mixed(h[:-1] * np.uint64(3) + (h[1:] ^ h[1:] >> np.uint64(31)))[pair]
+        both = _mixed(h[:-1] * np.uint64(3) + (h[1:] ^ h[1:] >> np.uint64(31)))
+        both = np.where(h[:-1] == h[1:], _TWICE, both)[pair]
         feature = (np.r_[h, both] >> np.uint64(64 - BITS)).astype(np.int64)
         key = np.unique(np.r_[owner, owner[:-1][pair]].astype(np.int64) << BITS | feature)
         return key >> BITS, key & ((1 << BITS) - 1)
