@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyloom.llm import ann, embedding_dedup, language_id, licenses, mixing, oracle, quality, simhash, token_counts, toxicity
+from skyloom.llm import (
+    ann,
+    embedding_dedup,
+    language_id,
+    licenses,
+    mixing,
+    oracle,
+    quality,
+    sentencepiece_stream,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from skyloom.llm.work import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +91,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_stream.digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
