@@ -9,7 +9,7 @@ nearest to it, and all vectors in them are candidates. Candidates are ranked by
 
 Cells are dealt in blocks of about ``BLOCK`` vectors; a block too full, as with many near copies in one cell, is split,
 and so are its queries. A unit of work hands on no more than the best of each of its queries. Equal vectors count as
-one, with the smallest of their ids. A range of up to ``BLOCK`` vectors has a single cell, where the search is exact.
+one, with the smallest of their ids. A range of up to ``HASH_FROM`` vectors has a single cell, where the search is exact.
 Queries that find fewer neighbours than there are go through all vectors, again in blocks.
 """
 
@@ -27,7 +27,8 @@ from skyloom.llm.work import map_arrow, ship, stored
 
 TABLES = 2
 PROBE_SHARE = 0.4
-BLOCK = 4096
+HASH_FROM = 4096
+BLOCK = 32_768
 CELL = 1024
 QUERY_BLOCK = 1024
 SEED = 7
@@ -55,9 +56,9 @@ def rotate(x: np.ndarray, table: int, level: int) -> np.ndarray:
     return x
 
 
-def axes(n: int, width: int, block: int, cell: int) -> list[int]:
+def axes(n: int, width: int, least: int, cell: int) -> list[int]:
     """Axes used by each hash for a range of ``n`` vectors; hashes are added until cells hold about ``cell`` vectors."""
-    if n <= block:
+    if n <= least:
         return []
     used, cells = [], 1
     while not used or n > cells * cell:
@@ -125,7 +126,9 @@ def _by_range(batch: pa.RecordBatch):
         yield at, int(n[at[0]]), float(value)
 
 
-def _hash_vectors(batches: Iterator[pa.RecordBatch], tables: int, block: int, cell: int) -> Iterator[pa.RecordBatch]:
+def _hash_vectors(
+    batches: Iterator[pa.RecordBatch], tables: int, least: int, block: int, cell: int
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 2000):
             part = batch.slice(start, 2000)
@@ -134,7 +137,7 @@ def _hash_vectors(batches: Iterator[pa.RecordBatch], tables: int, block: int, ce
                 own = part.take(pa.array(np.flatnonzero(dims == d)))
                 x = matrix(own.column("vec"))
                 for at, n, largest in _by_range(own):
-                    unit, used = _lift(x[at], largest), axes(n, _width(d), block, cell)
+                    unit, used = _lift(x[at], largest), axes(n, _width(d), least, cell)
                     for t in range(1 if not used else tables):
                         own_cell = cell_of(unit, used, t)
                         number = own_cell * _blocks(n, used, block) // _cells(used)
@@ -142,7 +145,7 @@ def _hash_vectors(batches: Iterator[pa.RecordBatch], tables: int, block: int, ce
 
 
 def _hash_queries(
-    batches: Iterator[pa.RecordBatch], tables: int, share: float, block: int, cell: int
+    batches: Iterator[pa.RecordBatch], tables: int, share: float, least: int, block: int, cell: int
 ) -> Iterator[pa.RecordBatch]:
     """A row for each block a query has cells in, with those cells."""
     for batch in batches:
@@ -153,7 +156,7 @@ def _hash_queries(
                 own = part.take(pa.array(np.flatnonzero(dims == d)))
                 x = matrix(own.column("vec"))
                 for at, n, _ in _by_range(own):
-                    unit, used = _lift(x[at], None), axes(n, _width(d), block, cell)
+                    unit, used = _lift(x[at], None), axes(n, _width(d), least, cell)
                     for t in range(1 if not used else tables):
                         cells = probes_of(unit, used, t, share)
                         row = np.repeat(np.arange(len(at)), cells.shape[1])
@@ -218,8 +221,8 @@ def _search_unit(rows: pa.Table, k: int) -> pa.Table:
         v = x[at_v]
         names, first = np.unique(cell_of_v, return_index=True)
         ends = np.r_[first[1:], len(cell_of_v)]
-        for start in range(0, len(at_q), 256):
-            rows_q = at_q[start : start + 256]
+        for start in range(0, len(at_q), 128):
+            rows_q = at_q[start : start + 128]
             q = x[rows_q]
             visits = np.concatenate([flat[offsets[r] : offsets[r + 1]] for r in rows_q])
             owner = np.repeat(np.arange(len(rows_q)), offsets[rows_q + 1] - offsets[rows_q])
@@ -243,7 +246,7 @@ def _search(vectors: DataFrame, queries: DataFrame, k: int, block: int) -> DataF
     both sides, every part of one meeting every part of the other.
     """
     key = ["dims", "range", "table", "block"]
-    n_v = vectors.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / (2 * block)).cast("int").alias("v_parts"))
+    n_v = vectors.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("v_parts"))
     n_q = queries.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("q_parts"))
     parts = stored(n_v.join(n_q, key), "ann-parts")
 
@@ -278,6 +281,7 @@ def nearest(
     vec_col: str = "embedding",
     tables: int = TABLES,
     probe_share: float = PROBE_SHARE,
+    hash_from: int = HASH_FROM,
     block_rows: int = BLOCK,
     cell_rows: int = CELL,
 ) -> DataFrame:
@@ -314,11 +318,14 @@ def nearest(
     columns = ["class_id", "vec", "dims", "range", "largest", "n"]
     hashed = map_arrow(
         ranged.join(ranges, ["dims", "range"]).select(*columns),
-        partial(_hash_vectors, tables=tables, block=block_rows, cell=cell_rows), _HASHED,
+        partial(_hash_vectors, tables=tables, least=hash_from, block=block_rows, cell=cell_rows), _HASHED,
     )
     probing = map_arrow(
         different.join(ranges, "dims").select(*columns),
-        partial(_hash_queries, tables=tables, share=probe_share, block=block_rows, cell=cell_rows), _HASHED,
+        partial(
+            _hash_queries, tables=tables, share=probe_share, least=hash_from, block=block_rows, cell=cell_rows
+        ),
+        _HASHED,
     )
     ids = members.select("vec", F.col("id").alias("vec_id"))
     best = Window.partitionBy("query_class").orderBy(F.desc("score"), "vec_id")

@@ -110,7 +110,7 @@ def test_nearest_over_cells_and_split_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "QUERY_BLOCK", 16)
     expected = nearest_by_force(rows, 10, 5)
     assert len(ann.axes(1200, 32, 100, 8)) == 2
-    found = search(spark, rows, 10, 5, block_rows=100, cell_rows=8)
+    found = search(spark, rows, 10, 5, hash_from=100, block_rows=100, cell_rows=8)
     hit = {(f[0], f[2]) for f in found} & {(e[0], e[2]) for e in expected}
     assert len(found) == len(expected) and len(hit) >= 0.9 * len(expected)
     exact = {(i, j): s for i, _, j, s in nearest_by_force(rows, 10, 1200)}
@@ -119,7 +119,7 @@ def test_nearest_over_cells_and_split_blocks(spark, monkeypatch):
 
 def test_queries_with_too_few_candidates_search_all(spark):
     rows = [(int(i), v.tolist(), 0) for i, v in enumerate(clustered(6, 300))]
-    found = search(spark, rows, 10, 40, probe_share=0.01, tables=1, block_rows=20)
+    found = search(spark, rows, 10, 40, probe_share=0.01, tables=1, hash_from=20, block_rows=20)
     assert len(found) == 30 * 40
     exact = {(i, j): s for i, _, j, s in nearest_by_force(rows, 10, 300)}
     assert all(abs(exact[f[0], f[2]] - f[3]) < 1e-9 for f in found)
@@ -128,7 +128,7 @@ def test_queries_with_too_few_candidates_search_all(spark):
 def test_recall_on_the_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
-    found = search(spark, rows, 20, 20, block_rows=256)  # hashed cells at this size too
+    found = search(spark, rows, 20, 20, hash_from=256, block_rows=256)  # hashed cells at this size too
     expected = nearest_by_force(rows, 20, 20)
     hit = {(f[0], f[2]) for f in found} & {(e[0], e[2]) for e in expected}
     assert len(hit) >= 0.9 * len(expected)
