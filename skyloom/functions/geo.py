@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 EARTH_RADIUS_M = 6_371_008.8
 
 _NUMBER = r"([-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)"
-_WKT_POINT = rf"(?i)^\s*POINT\s*\(\s*{_NUMBER}\s+{_NUMBER}\s*\)\s*$"
+WKT_POINT = rf"(?i)^\s*POINT\s*\(\s*{_NUMBER}\s+{_NUMBER}\s*\)\s*$"
 
 
 def _col(c: Column | str) -> Column:
@@ -38,8 +38,8 @@ def make_point(lon: Column | str, lat: Column | str) -> Column:
 def parse_wkt_point(text: Column | str) -> Column:
     """``POINT(lon lat)`` to a point; malformed text gives null."""
     text = _col(text)
-    lon = F.regexp_extract(text, _WKT_POINT, 1).try_cast("double")
-    lat = F.regexp_extract(text, _WKT_POINT, 2).try_cast("double")
+    lon = F.regexp_extract(text, WKT_POINT, 1).try_cast("double")
+    lat = F.regexp_extract(text, WKT_POINT, 2).try_cast("double")
     return _point(lon, lat)
 
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from skyloom.functions.geo import EARTH_RADIUS_M
+from skyloom.functions.geo import EARTH_RADIUS_M, WKT_POINT
 from skyloom.functions.scalar import ZERO_CELSIUS_K
 
 _POINT = "STRUCT<lon: DOUBLE, lat: DOUBLE>"
-_NUMBER = r"([-+]?[0-9.]+(?:[eE][-+]?[0-9]+)?)"
 
 _DISTANCE = f"""{2 * EARTH_RADIUS_M}D * asin(least(1D, sqrt(
     pow(sin(radians(q.lat - p.lat) / 2D), 2)
@@ -24,7 +23,7 @@ _WITHIN = f"""aggregate({_RINGS}, 0, (n, ring) -> n + size(filter(
     e -> (e.a[1] > p.lat) <> (e.b[1] > p.lat)
       AND p.lon < (e.b[0] - e.a[0]) * (p.lat - e.a[1]) / (e.b[1] - e.a[1]) + e.a[0]))) % 2 = 1"""
 
-_WKT = rf"'(?i)^\\s*POINT\\s*\\(\\s*{_NUMBER}\\s+{_NUMBER}\\s*\\)\\s*$'"
+_WKT = f"r'{WKT_POINT}'"
 
 
 def register_sql_functions(spark: SparkSession) -> None:
@@ -36,8 +35,10 @@ def register_sql_functions(spark: SparkSession) -> None:
     """
     functions = {
         f"geo_point(wkt STRING) RETURNS {_POINT}": (
-            f"named_struct('lon', try_cast(regexp_extract(wkt, {_WKT}, 1) AS DOUBLE), "
-            f"'lat', try_cast(regexp_extract(wkt, {_WKT}, 2) AS DOUBLE))"
+            "get(filter(array(named_struct("
+            f"'lon', try_cast(regexp_extract(wkt, {_WKT}, 1) AS DOUBLE), "
+            f"'lat', try_cast(regexp_extract(wkt, {_WKT}, 2) AS DOUBLE))), "
+            "p -> abs(p.lon) <= 180D AND abs(p.lat) <= 90D), 0)"
         ),
         f"longitude(p {_POINT}) RETURNS DOUBLE": "p.lon",
         f"latitude(p {_POINT}) RETURNS DOUBLE": "p.lat",

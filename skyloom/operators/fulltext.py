@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyloom.functions.text import analyze_english
-from skyloom.operators.joins import MAX_BROADCAST_ROWS, fits, materialize, salted_join
+from skyloom.operators.joins import materialize
 from skyloom.operators.ranking import check_k, top_k_by_score, top_k_per_group
 
 # BM25 parameters, fixed values.
@@ -22,9 +22,6 @@ SCORE_DIGITS = 6
 TEXT_COLUMNS = ("tourism_info", "transportation", "economics", "introduced_species")
 KEYWORD_COLUMNS = ("region_name", "economics", "transportation", "introduced_species")
 
-# Distinct query terms up to which the terms themselves go to the scan as a filter.
-_MAX_PUSHED_TERMS = 1000
-
 
 class TextIndex(NamedTuple):
     """Postings with the statistics of their columns and terms."""
@@ -101,12 +98,9 @@ def _bm25(tf: Column, df: Column, doc_len: Column, n_docs: Column, avg_len: Colu
     return idf * tf * F.lit(k1 + 1) / (tf + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * doc_len / avg_len))
 
 
-def _weighted(index: TextIndex, matched: DataFrame, terms: DataFrame, bounded: bool, k1: float, b: float) -> DataFrame:
+def _weighted(index: TextIndex, matched: DataFrame, terms: DataFrame, k1: float, b: float) -> DataFrame:
     """Matched postings with their term's share of the score."""
-    if bounded:
-        weighted = matched.join(F.broadcast(terms), ["column", "term"])
-    else:
-        weighted = salted_join(matched, terms, ["column", "term"])
+    weighted = matched.join(terms, ["column", "term"])
     # One row per indexed column of the source table.
     weighted = weighted.join(F.broadcast(index.columns), "column")
     weight = _bm25(*(F.col(c) for c in ("tf", "df", "doc_len", "n_docs", "avg_len")), k1, b)
@@ -130,7 +124,7 @@ def match_bm25_multi(
     cols = list(cols)
     wanted = F.col("term").isin(query_terms(index.postings.sparkSession, query)) & F.col("column").isin(cols)
     matched = index.postings.where(wanted)
-    weighted = _weighted(index, matched, index.terms.where(wanted), True, k1, b)
+    weighted = _weighted(index, matched, index.terms.where(wanted), k1, b)
     sums = [F.sum(F.when(F.col("column") == c, F.col("weight"))).alias(f"_s{i}") for i, c in enumerate(cols)]
     by_column = weighted.groupBy("doc").agg(*sums)
     parts = [F.col(f"_s{i}") for i in range(len(cols))]
@@ -158,23 +152,15 @@ def match_batch(
     k: int = 3,
     k1: float = K1,
     b: float = B,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Many ``(query_id, query_text)`` searches in one job: ``(query_id, rank, doc, score)``."""
     check_k(k)
     wanted = queries.select("query_id", F.explode(analyze_english("query_text")).alias("term")).distinct()
     postings = index.postings.where(F.col("column") == column)
     stats = index.terms.where(F.col("column") == column)
-    bounded = fits(wanted, max_broadcast_rows)
-    if bounded:
-        few = [r.term for r in wanted.select("term").distinct().limit(_MAX_PUSHED_TERMS + 1).collect()]
-        if len(few) <= _MAX_PUSHED_TERMS:
-            postings, stats = postings.where(F.col("term").isin(few)), stats.where(F.col("term").isin(few))
-        matched = postings.join(F.broadcast(wanted), "term")
-        stats = stats.join(F.broadcast(wanted.select("term").distinct()), "term", "left_semi")
-    else:
-        matched = salted_join(postings, wanted, ["term"])
-    weighted = _weighted(index, matched, stats, bounded, k1, b)
+    asked = wanted.select("term").distinct()
+    matched = postings.join(wanted, "term")
+    weighted = _weighted(index, matched, stats.join(asked, "term", "left_semi"), k1, b)
     scored = weighted.groupBy("query_id", "doc").agg(F.round(F.sum("weight"), SCORE_DIGITS).alias("score"))
     top = top_k_per_group(scored, ["query_id"], [F.desc("score"), F.asc("doc")], k)
     return top.select("query_id", "rank", "doc", "score")

@@ -1,33 +1,28 @@
-"""Joins of a large table with a smaller one: size-checked broadcast, skew-safe shuffle beyond it.
+"""Joins of a large table with a smaller one, and tables stored between steps.
 
-Two shuffle forms stand behind the broadcast. Where the smaller side may itself be large (locations, places),
-repeating it would cost more than it saves: the join is left plain, and adaptive execution splits an
-oversized partition of the large side. Where the smaller side stays small next to the other (query terms,
-edges of regions), keys are salted.
+Sizes in bytes decide, and Spark knows them: a stored table has a size before planning
+(``spark.sql.autoBroadcastJoinThreshold``), any other after its shuffle, where adaptive execution may still turn the
+join into a broadcast. A key that holds a large share of the rows makes one shuffle partition oversized; adaptive
+execution (``spark.sql.adaptive.skewJoin.enabled``, on by default) reads it in many tasks. Where the smaller side stays
+small next to the other (query terms, edges of regions), keys can be salted instead.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from skyloom.session import ensure_checkpoint_dir
+from skyloom.session import new_work_path
 
-# Most rows a broadcast side may have. Sides are narrow, so this stays far below the 8 GB limit.
-MAX_BROADCAST_ROWS = 500_000
 SALTS = 16
 
 _HASHABLE = (T.AtomicType, T.NullType)
 
 
-def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than that plus one per partition."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Result stored in the shared checkpoint folder, so later jobs neither recompute nor lose it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def materialize(df: DataFrame, name: str = "stored") -> DataFrame:
+    """``df`` as a Parquet table in the shared work folder: computed once, kept when executors are lost."""
+    path = new_work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def salted_join(
@@ -47,18 +42,3 @@ def salted_join(
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = fact.withColumn("_salt", salt.cast("int"))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
-
-
-def dimension_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    max_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join ``fact`` with ``dim``: broadcast after a row count, otherwise shuffled.
-
-    A key that holds a large share of ``fact`` makes one shuffle partition oversized; adaptive execution
-    (``spark.sql.adaptive.skewJoin.enabled``, on by default) reads it in many tasks.
-    """
-    return fact.join(F.broadcast(dim) if fits(dim, max_rows) else dim, on, how)

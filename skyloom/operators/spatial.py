@@ -13,14 +13,7 @@ from skyloom.functions.geo import (
     location_key,
     shape_rings,
 )
-from skyloom.operators.joins import (
-    MAX_BROADCAST_ROWS,
-    SALTS,
-    dimension_join,
-    fits,
-    materialize,
-    salted_join,
-)
+from skyloom.operators.joins import SALTS, materialize, salted_join
 
 CELL_DEG = 1.0
 BAND_DEG = 0.25
@@ -47,6 +40,23 @@ def polygon_edges(regions: DataFrame, name: str, shape: str) -> DataFrame:
     return flat.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 
+def rejected_shapes(regions: DataFrame, shape: str) -> DataFrame:
+    """Rows whose shape gives no boundary: missing, malformed, or neither a Polygon nor a MultiPolygon."""
+    rings = F.filter(shape_rings(shape), lambda ring: F.size(ring) >= 3)
+    return regions.where(F.coalesce(F.size(rings), F.lit(0)) <= 0)
+
+
+def update_located(
+    located: DataFrame, points: DataFrame, edges: DataFrame, name: str = "region_name", **kw
+) -> DataFrame:
+    """Rows to append to a stored ``located``: the regions of locations it has no row for.
+
+    A location outside every region has no row either and is tested again.
+    """
+    new = distinct_locations(points).join(located.select("lon", "lat").distinct(), ["lon", "lat"], "left_anti")
+    return locate_regions(new, edges, name, **kw)
+
+
 def distinct_locations(readings: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Each location once; rows without a location are left out."""
     known = readings.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
@@ -85,16 +95,6 @@ def _edge_bands(edges: DataFrame, name: str, band_deg: float) -> DataFrame:
     return sloped.withColumn("band", F.explode(bands))
 
 
-def _spread_rows(edges: DataFrame, name: str, cell_deg: float, band_deg: float) -> int:
-    """Rows of ``_region_cells`` and ``_edge_bands`` together, without building them."""
-    first, last = _steps(F.least("y1", "y2"), F.greatest("y1", "y2"), band_deg)
-    boxes = _region_boxes(edges, name, F.sum(last - first + 1).alias("bands"))
-    west, east = _steps(F.col("xmin"), F.col("xmax"), cell_deg)
-    south, north = _steps(F.col("ymin"), F.col("ymax"), cell_deg)
-    rows = F.col("bands") + (east - west + 1) * (north - south + 1)
-    return boxes.agg(F.coalesce(F.sum(rows), F.lit(0))).head()[0]
-
-
 def locate_regions(
     locations: DataFrame,
     edges: DataFrame,
@@ -102,28 +102,21 @@ def locate_regions(
     strategy: str = "auto",
     cell_deg: float = CELL_DEG,
     band_deg: float = BAND_DEG,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Which regions contain which location: ``(lon, lat, name)``, one row per pair.
 
     Two equi-joins: location to the grid cells of each region's box, then candidate to the edges whose
     latitude band it lies in. A pair is kept when the ray to the east meets an odd number of edges.
-    ``broadcast`` sends cells and edges to every task, ``grid`` shuffles with salted keys, ``auto``
-    counts the rows to send first.
+    ``auto`` leaves the kind of join to Spark, ``grid`` salts the keys, for cells with very many locations.
     """
-    if strategy not in ("auto", "broadcast", "grid"):
+    if strategy not in ("auto", "grid"):
         raise ValueError(f"unknown strategy {strategy!r}")
     cells = _region_cells(edges, name, cell_deg)
     bands = _edge_bands(edges, name, band_deg)
-    if strategy == "auto":
-        small = _spread_rows(edges, name, cell_deg, band_deg) <= max_broadcast_rows
-        strategy = "broadcast" if small else "grid"
 
     def join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        if strategy == "broadcast":
-            return left.join(F.broadcast(right), on)
-        return salted_join(left, right, on, salts=salts)
+        return left.join(right, on) if strategy == "auto" else salted_join(left, right, on, salts=salts)
 
     lon, lat = F.col("lon"), F.col("lat")
     on_globe = distinct_locations(locations).where(lon.between(-180, 180) & lat.between(-90, 90))
@@ -142,7 +135,7 @@ def locate_regions(
 
 
 def located_or_new(points: DataFrame, edges: DataFrame | None, located: DataFrame | None, **kw) -> DataFrame:
-    """The caller's location table, or a fresh one stored so the join back can count it."""
+    """The caller's location table, or a fresh one, stored so that its size is known to the join."""
     if located is not None:
         return located
     if edges is None:
@@ -161,7 +154,7 @@ def within_join(
     Containment is tested once per distinct location. ``located`` (from ``locate_regions``) may be
     stored and passed in to skip the test.
     """
-    return dimension_join(points, located_or_new(points, edges, located, **kw), ["lon", "lat"])
+    return points.join(located_or_new(points, edges, located, **kw), ["lon", "lat"])
 
 
 def region_locations(located: DataFrame, region: str = "ALL", name: str = "region_name") -> DataFrame:
@@ -180,7 +173,7 @@ def within_semi(
 ) -> DataFrame:
     """Points inside any region (or the named one), each once."""
     places = region_locations(located_or_new(points, edges, located, **kw), region)
-    return dimension_join(points, places, ["lon", "lat"], "left_semi")
+    return points.join(places, ["lon", "lat"], "left_semi")
 
 
 def outside_anti(
@@ -191,24 +184,34 @@ def outside_anti(
 ) -> DataFrame:
     """Points inside no region: the complement of ``within_semi``."""
     places = region_locations(located_or_new(points, edges, located, **kw))
-    return dimension_join(points, places, ["lon", "lat"], "left_anti")
+    return points.join(places, ["lon", "lat"], "left_anti")
 
 
-def location_join(
-    readings: DataFrame, geo_points: DataFrame, how: str = "inner", counted: bool = True
-) -> DataFrame:
-    """Readings with the named point at their location, matched on micro-degrees.
+def location_join(readings: DataFrame, geo_points: DataFrame, how: str = "inner") -> DataFrame:
+    """Readings with the named points at their location: both coordinates within one micro-degree.
 
-    ``counted`` counts the points to broadcast them next to large readings; without it Spark chooses by its
-    own size estimate, which saves a job where both sides are modest.
+    Two values that close may fall into neighbouring micro-degrees, so each point stands in its own and the
+    adjoining ones; the difference is checked after the equi-join. Works for inner and left joins.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown kind of join {how!r}")
+    near = F.array(*[F.lit(k) for k in (-1, 0, 1)])
     named = geo_points.select(
-        location_key("lon").alias("_kx"), location_key("lat").alias("_ky"), "nearest_town"
+        F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), "nearest_town",
+        location_key("lon").alias("_x"), location_key("lat").alias("_y"),
+    )
+    named = named.withColumn("_dx", F.explode(near)).withColumn("_dy", F.explode(near))
+    named = named.select(
+        "_lon", "_lat", "nearest_town", (F.col("_x") + F.col("_dx")).alias("_kx"), (F.col("_y") + F.col("_dy")).alias("_ky")
     )
     keyed = readings.withColumns({"_kx": location_key("lon"), "_ky": location_key("lat")})
-    on = ["_kx", "_ky"]
-    joined = dimension_join(keyed, named, on, how) if counted else keyed.join(named, on, how)
-    return joined.drop(*on)
+    # half a unit of double precision at 180 degrees more than a micro-degree
+    reach = F.lit(1e-6 + 1e-12)
+    at = (
+        keyed["_kx"].eqNullSafe(named["_kx"]) & keyed["_ky"].eqNullSafe(named["_ky"])
+        & (F.abs(keyed["lon"] - named["_lon"]) <= reach) & (F.abs(keyed["lat"] - named["_lat"]) <= reach)
+    )
+    return keyed.join(named, at, how).select(*[keyed[c] for c in readings.columns], "nearest_town")
 
 
 def _reach_deg(radius_m: float) -> float:
@@ -243,9 +246,16 @@ def proximity_minmax(
     radius_m: float = 1.0,
     value: str = "temperature",
     time_col: str = "measurement_time",
+    partition_col: str | None = None,
 ) -> DataFrame:
-    """Least and greatest value near a point at an instant; one row always, nulls when nothing matches."""
-    at_time = readings.where(F.col(time_col) == F.lit(at).cast(readings.schema[time_col].dataType))
+    """Least and greatest value near a point at an instant; one row always, nulls when nothing matches.
+
+    ``partition_col`` names a date column the table is partitioned by.
+    """
+    instant = F.lit(at).cast(readings.schema[time_col].dataType)
+    at_time = readings.where(F.col(time_col) == instant)
+    if partition_col is not None:
+        at_time = at_time.where(F.col(partition_col) == F.to_date(instant))
     near = distance_filter(at_time, lon, lat, radius_m)
     return near.agg(F.min(value).alias("min_t"), F.max(value).alias("max_t"))
 
@@ -290,13 +300,13 @@ def proximity_batch(
     radius_m: float = 1.0,
     value: str = "temperature",
     time_col: str = "measurement_time",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """Many ``(probe_id, lon, lat, probe_time)`` probes in one job: each with ``min_t`` and ``max_t``.
 
     Readings meet probes on ``(time, grid cell)``; cell width follows the latitude and wraps at 180
-    degrees. Probes without a match keep nulls. Too many probes for a broadcast are joined with readings
-    already reduced to one row per time and location, so many readings at one place are one row.
+    degrees. Probes without a match keep nulls. ``partition_col`` names a date column the readings are partitioned
+    by: it joins too, so that only the dates of probes are read.
     """
     # Cells of a few metres would repeat each probe nine times; ten times the radius seldom repeats it.
     reach = _reach_deg(radius_m)
@@ -310,21 +320,20 @@ def proximity_batch(
         "_iy",
         "_ix",
     )
-    small = fits(cells, max_broadcast_rows)
+    on = ["_time", "_iy", "_ix"]
+    kept = ["lon", "lat"]
+    if partition_col is not None:
+        cells = cells.withColumn("_date", F.to_date("_time"))
+        kept, on = [*kept, F.col(partition_col).alias("_date")], [*on, "_date"]
 
     rows = readings.where(F.col("lon").between(-180, 180) & F.col("lat").between(-90, 90)).select(
-        F.col(time_col).alias("_time"), "lon", "lat", F.col(value).alias("_low"), F.col(value).alias("_high")
+        F.col(time_col).alias("_time"), *kept, F.col(value).alias("_low"), F.col(value).alias("_high")
     )
-    if not small:
-        rows = rows.groupBy("_time", "lon", "lat").agg(
-            F.min("_low").alias("_low"), F.max("_high").alias("_high")
-        )
     n, _ = _row_cells(F.col("_iy"), cell)
     rows = rows.withColumn("_iy", _grid_row(F.col("lat"), cell))
     rows = rows.withColumn("_ix", F.pmod(F.floor((F.col("lon") + 180.0) / (360.0 / n)), n))
 
-    on = ["_time", "_iy", "_ix"]
-    met = rows.join(F.broadcast(cells) if small else cells, on)
+    met = rows.join(cells, on)
     met = met.where(geo_distance("lon", "lat", "_plon", "_plat") < radius_m)
     hits = met.select(
         "probe_id",

@@ -59,10 +59,16 @@ def exact_percentiles(df: DataFrame, group: str, value: str, percentiles: list[f
         .where((F.col("_start") <= F.col("_r")) & (F.col("_r") < F.col("_end")))
         .select(group, "_b", "_p", "_frac", (F.col("_r") - F.col("_start")).alias("_k"))
     )
-    needed = counted.join(wanted.select(group, "_b").distinct(), [group, "_b"], "left_semi")
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        """Equal group, null included, and equal bucket."""
+        return left[group].eqNullSafe(right["_g"]) & (left["_b"] == right["_wb"])
+
+    wanted = wanted.withColumnsRenamed({group: "_g", "_b": "_wb"})
+    asked_for = wanted.select("_g", "_wb").distinct()
+    needed = counted.join(asked_for, same(counted, asked_for), "left_semi")
     sorted_bucket = Window.partitionBy(group, "_b").orderBy("_v")
     ranked = needed.withColumn("_to", F.sum("_c").over(sorted_bucket))
-    hits = ranked.join(wanted, [group, "_b"]).where(
+    hits = ranked.join(wanted, same(ranked, wanted)).where(
         (F.col("_to") - F.col("_c") <= F.col("_k")) & (F.col("_k") < F.col("_to"))
     )
     low, high = F.min("_v"), F.max("_v")
@@ -85,7 +91,8 @@ def percentile_summary(df: DataFrame, group: str, value: str, exact: bool = True
     wide = found.groupBy(group).agg(
         *[F.max(F.when(F.col("percentile") == p, F.col("value"))).alias(c) for c, p in named.items()]
     )
-    return df.groupBy(group).agg(*basics).join(wide, group, "left").select(*order)
+    base, wide = df.groupBy(group).agg(*basics), wide.withColumnRenamed(group, "_g")
+    return base.join(wide, base[group].eqNullSafe(wide["_g"]), "left").select(*order)
 
 
 def percentile_curve(

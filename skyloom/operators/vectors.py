@@ -21,7 +21,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 import skyloom
 from skyloom.functions.scalar import normalize_query_text
 from skyloom.functions.text import analyze_english
-from skyloom.operators.joins import MAX_BROADCAST_ROWS, fits, salted_join
 from skyloom.operators.ranking import check_k, top_k_by_score, top_k_per_group
 
 # Task functions travel with their code, so workers need no installed copy of the package.
@@ -232,7 +231,6 @@ def knn_ann(
     buckets: DataFrame,
     queries: DataFrame,
     k: int = 5,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Approximate ``knn_batch`` (Euclidean): only vectors that share a hash bucket with a query compete."""
     check_k(k)
@@ -242,10 +240,7 @@ def knn_ann(
     )
     stored = buckets.select("id", "vec", in_tables)
     on = ["table", "bucket"]
-    if fits(probes, max_broadcast_rows):
-        pairs = stored.join(F.broadcast(probes), on)
-    else:
-        pairs = salted_join(stored, probes, on)
+    pairs = stored.join(probes, on)
     gaps = F.zip_with("vec", "query_vec", lambda a, b: a.cast("double") - b.cast("double"))
     distance = F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g * g)
     near = pairs.select("query_id", "id", distance.alias("distance")).groupBy("query_id", "id").agg(

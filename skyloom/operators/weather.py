@@ -16,7 +16,6 @@ from skyloom.functions.scalar import (
     wind_direction,
     wind_speed,
 )
-from skyloom.operators.joins import dimension_join
 from skyloom.operators.spatial import (
     distance_filter,
     located_or_new,
@@ -35,16 +34,26 @@ def metric_column(metric: str) -> Column:
     return wind_speed("u10", "v10") if metric == "wind_speed" else F.col(metric)
 
 
-def time_equals(df: DataFrame, col: str, at) -> DataFrame:
-    return df.where(F.col(col) == F.lit(at).cast(df.schema[col].dataType))
+def time_equals(df: DataFrame, col: str, at, partition_col: str | None = None) -> DataFrame:
+    """Rows at an instant. ``partition_col`` names a date column the table is partitioned by."""
+    instant = F.lit(at).cast(df.schema[col].dataType)
+    if partition_col is not None:
+        df = df.where(F.col(partition_col) == F.to_date(instant))
+    return df.where(F.col(col) == instant)
+
 
+def time_range(df: DataFrame, col: str, t_from, t_to, partition_col: str | None = None) -> DataFrame:
+    """Rows between two instants, both ends included; a bare date means its midnight.
 
-def time_range(df: DataFrame, col: str, t_from, t_to) -> DataFrame:
-    """Rows between two instants, both ends included; a bare date means its midnight."""
+    ``partition_col`` names a date column the table is partitioned by: other dates are not read.
+    """
     if not t_from or not t_to:
         raise ValueError("both time bounds are required")
     kind = df.schema[col].dataType
-    return df.where(F.col(col).between(F.lit(t_from).cast(kind), F.lit(t_to).cast(kind)))
+    low, high = F.lit(t_from).cast(kind), F.lit(t_to).cast(kind)
+    if partition_col is not None:
+        df = df.where(F.col(partition_col).between(F.to_date(low), F.to_date(high)))
+    return df.where(F.col(col).between(low, high))
 
 
 def region_or_all(df: DataFrame, region: str, name: str = "region_name") -> DataFrame:
@@ -67,11 +76,14 @@ def latest_epoch(df: DataFrame, time_col: str = TIME, partition_col: str | None
 def latest_epoch_in_range(
     df: DataFrame, t_from, t_to, time_col: str = TIME, partition_col: str | None = None
 ) -> DataFrame:
-    return latest_epoch(time_range(df, time_col, t_from, t_to), time_col, partition_col)
+    in_range = time_range(df, time_col, t_from, t_to, partition_col)
+    return in_range.where(F.col(time_col) == in_range.agg(F.max(time_col)).scalar())
 
 
-def last_measurement_time(readings: DataFrame, t_from, t_to, time_col: str = TIME) -> DataFrame:
-    in_range = time_range(readings, time_col, t_from, t_to)
+def last_measurement_time(
+    readings: DataFrame, t_from, t_to, time_col: str = TIME, partition_col: str | None = None
+) -> DataFrame:
+    in_range = time_range(readings, time_col, t_from, t_to, partition_col)
     return in_range.agg(F.max(time_col).alias("last_measurement_time"))
 
 
@@ -86,7 +98,7 @@ def region_names(regions: DataFrame, name: str = "region_name") -> DataFrame:
 
 def _at_named_places(readings: DataFrame, located: DataFrame, geo_points: DataFrame) -> DataFrame:
     """Readings at located and named places. The small tables meet first, so readings are joined once."""
-    return dimension_join(readings, location_join(located, geo_points, counted=False), ["lon", "lat"])
+    return readings.join(location_join(located, geo_points), ["lon", "lat"])
 
 
 def _snapshot_columns(df: DataFrame, *first: str) -> DataFrame:
@@ -152,9 +164,10 @@ def minavgmax_for_region(
     t_from,
     t_to,
     located: DataFrame | None = None,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """Least, mean and greatest value per measurement time; ``ALL`` counts a reading once."""
-    inside = _in_region(time_range(readings, TIME, t_from, t_to), edges, region, located)
+    inside = _in_region(time_range(readings, TIME, t_from, t_to, partition_col), edges, region, located)
     return inside.groupBy(F.col(TIME).alias("time")).agg(*_min_avg_max(metric))
 
 
@@ -166,9 +179,10 @@ def minavgmax_total(
     t_from,
     t_to,
     located: DataFrame | None = None,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """Least, mean and greatest value of the whole time range, one row."""
-    inside = _in_region(time_range(readings, TIME, t_from, t_to), edges, region, located)
+    inside = _in_region(time_range(readings, TIME, t_from, t_to, partition_col), edges, region, located)
     return inside.agg(*_min_avg_max(metric))
 
 
@@ -181,11 +195,12 @@ def metric_snapshot(
     t_from,
     t_to,
     located: DataFrame | None = None,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """Value per location at the latest epoch in range; ``wind`` gives speed and direction."""
     if edges is not None:
         edges = region_or_all(edges, region)
-    latest = latest_epoch_in_range(readings, t_from, t_to)
+    latest = latest_epoch_in_range(readings, t_from, t_to, TIME, partition_col)
     places = region_locations(located_or_new(latest, edges, located), region)
     named = _at_named_places(latest, places, geo_points)
     if metric == "wind":
@@ -207,9 +222,10 @@ def latest_gauge(
     t_from,
     t_to,
     located: DataFrame | None = None,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """Mean value at the latest epoch in range, one row."""
-    latest = latest_epoch_in_range(readings, t_from, t_to)
+    latest = latest_epoch_in_range(readings, t_from, t_to, TIME, partition_col)
     inside = _in_region(latest, edges, region, located)
     return inside.agg(F.max(TIME).alias("time"), F.avg(metric_column(metric)).alias("avg_value"))
 
@@ -224,6 +240,7 @@ def rank_places(
     t_from,
     t_to,
     located: DataFrame | None = None,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """The ``n`` locations inside any region with the highest or lowest value at the latest epoch in range.
 
@@ -236,7 +253,7 @@ def rank_places(
     if n <= 0:
         raise ValueError("n must be positive")
     high = kind in ("highest", "warmest")
-    latest = latest_epoch_in_range(readings, t_from, t_to)
+    latest = latest_epoch_in_range(readings, t_from, t_to, TIME, partition_col)
     inside = _in_region(latest, edges, "ALL", located)
     extreme = (F.max if high else F.min)(metric_column(metric)).alias("value")
     places = inside.groupBy("lon", "lat").agg(extreme).where(F.col("value").isNotNull())
@@ -262,9 +279,11 @@ def extreme_place(
     t_from,
     t_to,
     located: DataFrame | None = None,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """The single coldest, warmest, lowest or highest place."""
-    return rank_places(readings, edges, geo_points, metric, kind, 1, t_from, t_to, located).drop("rank")
+    top = rank_places(readings, edges, geo_points, metric, kind, 1, t_from, t_to, located, partition_col)
+    return top.drop("rank")
 
 
 def daily_avg_at_location(
@@ -276,9 +295,10 @@ def daily_avg_at_location(
     t_to,
     radius_m: float = 1.0,
     time_col: str = TIME,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """Mean value per day at a location."""
-    near = distance_filter(time_range(readings, time_col, t_from, t_to), lon, lat, radius_m)
+    near = distance_filter(time_range(readings, time_col, t_from, t_to, partition_col), lon, lat, radius_m)
     day = F.to_date(time_col).cast("timestamp_ntz").alias("day")
     return near.groupBy(day).agg(F.avg(metric_column(metric)).alias("avg_value"))
 

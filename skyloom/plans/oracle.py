@@ -370,3 +370,13 @@ ORACLE: dict[str, str] = {
     "query_sql": f"""WITH {READINGS} SELECT event_type, count(*) AS n, max(measurement_time) AS latest FROM readings
       WHERE lon >= 8 GROUP BY 1""",
 }
+
+ORACLE |= {
+    f"stored_{name}": ORACLE[name]
+    for name in (
+        "region_snapshot", "minavgmax_temperature", "snapshot_temperature", "rank_places", "proximity_minmax",
+        "proximity_batch",
+    )
+}
+ORACLE["sql_geo_point"] = f"""WITH {READINGS}, t AS (SELECT *, event_id % 11 = 0 OR event_id % 13 = 0 AS missing FROM readings)
+  SELECT event_id, CASE WHEN NOT missing THEN lon END AS lon, CASE WHEN NOT missing THEN lat END AS lat, missing FROM t"""

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from skyloom.functions.scalar import VARIABLE_PATTERN as _VARIABLE, slugify
 from skyloom.operators.fulltext import KEYWORD_COLUMNS
-from skyloom.operators.joins import dimension_join
 
 # Known panel variables and their parameter types, fixed values.
 VARIABLES = {
@@ -21,8 +21,17 @@ VARIABLES = {
 }
 # Variables whose value is a column name.
 COLUMN_VARIABLES = ("search_categories",)
-# The time macro of a dashboard with its column, fixed value.
-_TIME_MACRO = r"\$__timeFilter\(\s*([^)]+?)\s*\)"
+# The time macro of a dashboard, fixed value.
+_TIME_MACRO = "$__timeFilter"
+# SQL text apart from code: comments, texts, quoted names. An unfinished one runs to the end.
+_PARTS = re.compile(
+    r"--[^\n]*"
+    r"|/\*.*?(?:\*/|\Z)"
+    r"|'(?:[^'\\]|\\.|'')*(?:'|\Z)"
+    r'|"(?:[^"]|"")*(?:"|\Z)'
+    r"|`(?:[^`]|``)*(?:`|\Z)",
+    re.S,
+)
 
 DASHBOARD_SCHEMA = T.StructType(
     [
@@ -58,7 +67,7 @@ def panels_of(dashboards: DataFrame) -> DataFrame:
 
     ``dashboards`` has a ``dashboard`` column and the ``panels`` array of one document. Row headers are
     skipped, the first target with SQL counts. Names are unique within a document: a name already taken
-    gets ``_<id>``.
+    gets ``_<id>``, and a further number if that is taken too.
     """
 
     def sqls(panel: Column) -> Column:
@@ -79,8 +88,13 @@ def panels_of(dashboards: DataFrame) -> DataFrame:
 
     def next_name(taken: Column, panel: Column) -> Column:
         numbered = F.concat(panel["slug"], F.lit("_"), panel["id"].cast("string"))
-        name = F.when(F.array_contains(taken, panel["slug"]), numbered).otherwise(panel["slug"])
-        return F.concat(taken, F.array(name))
+        # one of so many candidates is free, as the names taken are fewer
+        more = F.transform(
+            F.sequence(F.lit(2), F.size(taken) + 2), lambda k: F.concat(numbered, F.lit("_"), k.cast("string"))
+        )
+        candidates = F.concat(F.array(panel["slug"], numbered), more)
+        free = F.filter(candidates, lambda name: name.isNotNull() & ~F.array_contains(taken, name))
+        return F.concat(taken, F.array(F.get(free, F.lit(0))))
 
     described = dashboards.select("dashboard", F.transform(F.filter("panels", is_query), describe).alias("ps"))
     named = described.withColumn(
@@ -99,9 +113,12 @@ def load_panels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dedupe_slug(df: DataFrame, slug: str, id_col: str, order_col: str, out: str = "name") -> DataFrame:
-    """Unique names over a whole table: the first row of a slug keeps it, later ones get ``_<id>``."""
+    """Names over a whole table: the first row of a slug keeps it, later ones get ``_<id>``.
+
+    Rows of one slug get different names; a slug that itself ends in another row's slug and id may still meet it.
+    """
     firsts = df.groupBy(slug).agg(F.min(order_col).alias("_first"))
-    joined = dimension_join(df, firsts, [slug])
+    joined = df.join(firsts, [slug])
     numbered = F.concat(F.col(slug), F.lit("_"), F.col(id_col).cast("string"))
     return joined.withColumn(
         out, F.when(F.col(order_col) == F.col("_first"), F.col(slug)).otherwise(numbered)
@@ -137,19 +154,19 @@ def render_panel(raw_sql: str, args: dict[str, Any]) -> tuple[str, dict[str, Any
         if name not in VARIABLES:
             raise ValueError(f"unknown panel variable ${name}")
         if args.get(name) is None:
-            raise ValueError(f"panel variable ${name} has no value")
+            raise ValueError(f"no value given for ${name}")
         value = args[name]
         if name in COLUMN_VARIABLES and value not in KEYWORD_COLUMNS:
             raise ValueError(f"{name} must be exactly one of {KEYWORD_COLUMNS}, not {value!r}")
         values[name] = float(value) if VARIABLES[name] == "number" else str(value)
         return f":{name}"
 
-    def time_filter(match: re.Match) -> str:
+    def time_filter(column: str) -> str:
         for bound in ("time_from", "time_to"):
             if not args.get(bound):
-                raise ValueError("time_from and time_to are required for panels that use $__timeFilter")
+                raise ValueError(f"{_TIME_MACRO} takes its bounds from time_from and time_to; {bound} is missing")
             values[bound] = str(args[bound])
-        column = re.sub(r'"([^"]+)"', r"`\1`", match.group(1))
+        column = re.sub(r'"([^"]+)"', r"`\1`", column.strip())
         return f"({column} BETWEEN :time_from AND :time_to)"
 
     def quoted(match: re.Match) -> str:
@@ -169,14 +186,51 @@ def render_panel(raw_sql: str, args: dict[str, Any]) -> tuple[str, dict[str, Any
         placeholder = parameter(name)
         return f"IDENTIFIER({placeholder})" if name in COLUMN_VARIABLES else placeholder
 
-    sql = re.sub(_TIME_MACRO, time_filter, raw_sql)
-    chunks = re.split(r"('(?:[^']|'')*')", sql)
-    for i, chunk in enumerate(chunks):
-        if i % 2:
-            chunks[i] = re.sub(r"^'.*'$", quoted, chunk, flags=re.S)
+    rendered = []
+    for kind, chunk in _sql_parts(_expanded(raw_sql, time_filter)):
+        if kind == "text":
+            rendered.append(re.sub(r"^'.*'$", quoted, chunk, flags=re.S))
         else:
-            chunks[i] = re.sub(_VARIABLE, bare, chunk)
-    return "".join(chunks), values
+            rendered.append(re.sub(_VARIABLE, bare, chunk) if kind == "code" else chunk)
+    return "".join(rendered), values
+
+
+def _sql_parts(sql: str) -> Iterator[tuple[str, str]]:
+    """``sql`` in order as (kind, chunk): ``code``, ``text`` in single quotes, or ``other``, which stays as it is."""
+    at = 0
+    for match in _PARTS.finditer(sql):
+        yield "code", sql[at : match.start()]
+        yield ("text" if match.group(0).startswith("'") else "other"), match.group(0)
+        at = match.end()
+    yield "code", sql[at:]
+
+
+def _expanded(sql: str, filter_of: Callable[[str], str]) -> str:
+    """``sql`` with each time macro in its code replaced; its argument ends at the matching parenthesis."""
+    out, depth, argument = [], 0, []
+    for kind, chunk in _sql_parts(sql):
+        while chunk:
+            if depth:
+                if kind != "code":
+                    argument.append(chunk)
+                    break
+                for end, c in enumerate(chunk):
+                    depth += (c == "(") - (c == ")")
+                    if depth == 0:
+                        break
+                else:
+                    argument.append(chunk)
+                    break
+                out.append(filter_of("".join([*argument, chunk[:end]])))
+                chunk, argument = chunk[end + 1 :], []
+            else:
+                start = re.search(re.escape(_TIME_MACRO) + r"\s*\(", chunk) if kind == "code" else None
+                out.append(chunk[: start.start()] if start else chunk)
+                chunk = chunk[start.end() :] if start else ""
+                depth = 1 if start else 0
+    if depth:
+        raise ValueError(f"{_TIME_MACRO} without a closing parenthesis")
+    return "".join(out)
 
 
 def panel_query(spark: SparkSession, raw_sql: str, **args: Any) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyloom.functions import geo, scalar, text
+from skyloom.functions.sql import register_sql_functions
 from skyloom.operators import fulltext, ranking, spatial, stats, vectors, weather
+from skyloom.operators.joins import materialize
 from skyloom.plans import inputs, panels
 from skyloom.session import new_work_path
 from skyloom.sources import tables
@@ -175,10 +177,9 @@ def proximity_batch_exact_point(spark, sf):
 
 @register
 def proximity_batch_shuffled(spark, sf):
-    """The form for more probes than a broadcast may hold."""
-    df = spatial.proximity_batch(
-        inputs.readings(spark, sf), _probes(spark, sf), 30_000.0, max_broadcast_rows=0
-    )
+    """The probes by a shuffle, whatever their size."""
+    probes = _probes(spark, sf).hint("shuffle_merge")
+    df = spatial.proximity_batch(inputs.readings(spark, sf), probes, 30_000.0)
     return df.select("probe_id", "lon", "lat", "probe_time", _r("min_t"), _r("max_t"))
 
 
@@ -536,10 +537,9 @@ def match_batch(spark, sf):
 
 @register
 def match_batch_shuffled(spark, sf):
-    """The form for more query terms than a broadcast may hold."""
-    return fulltext.match_batch(
-        _index(spark, sf, ["economics"]), "economics", inputs.text_queries(spark), 3, max_broadcast_rows=0
-    )
+    """The queries by a shuffle, whatever their size."""
+    queries = inputs.text_queries(spark).hint("shuffle_merge")
+    return fulltext.match_batch(_index(spark, sf, ["economics"]), "economics", queries, 3)
 
 
 @register
@@ -738,3 +738,77 @@ def query_sql(spark, sf):
         "WHERE lon >= :west GROUP BY event_type",
         {"west": 8.0},
     )
+
+
+# The same over tables stored by date, which read the dates they need only
+
+DATE = "measurement_date"
+
+
+def _stored(spark, sf):
+    """Readings partitioned by date, and the regions of their locations."""
+    path = new_work_path(spark, "readings")
+    tables.write_readings(inputs.readings(spark, sf), path, files_per_day=1)
+    stored = spark.read.parquet(path)
+    return stored, materialize(spatial.locate_regions(stored, inputs.edges(spark)), "located")
+
+
+@register
+def stored_region_snapshot(spark, sf):
+    readings, located = _stored(spark, sf)
+    points = inputs.geo_points(spark, sf)
+    df = weather.region_snapshot(readings, None, points, "Concave", located, DATE)
+    return df.withColumn("temperature", _r("temperature"))
+
+
+@register
+def stored_minavgmax_temperature(spark, sf):
+    readings, located = _stored(spark, sf)
+    df = weather.minavgmax_for_region(readings, None, "temperature", "Concave", T_FROM, T_TO, located, DATE)
+    return df.select("time", _r("min_value"), _r("avg_value"), _r("max_value"))
+
+
+@register
+def stored_snapshot_temperature(spark, sf):
+    readings, located = _stored(spark, sf)
+    points = inputs.geo_points(spark, sf)
+    df = weather.metric_snapshot(readings, None, points, "temperature", "ALL", T_FROM, T_TO, located, DATE)
+    return df.withColumn("temperature", _r("temperature"))
+
+
+@register
+def stored_rank_places(spark, sf):
+    readings, located = _stored(spark, sf)
+    points = inputs.geo_points(spark, sf)
+    df = weather.rank_places(
+        readings, None, points, "wind_speed", "highest", 10, T_FROM, T_TO, located, DATE
+    )
+    return df.withColumn("value", _r("value"))
+
+
+@register
+def stored_proximity_minmax(spark, sf):
+    readings, _ = _stored(spark, sf)
+    df = spatial.proximity_minmax(readings, POINT_LON, POINT_LAT, AT, partition_col=DATE)
+    return df.select(_r("min_t"), _r("max_t"))
+
+
+@register
+def stored_proximity_batch(spark, sf):
+    readings, _ = _stored(spark, sf)
+    df = spatial.proximity_batch(readings, _probes(spark, sf), 30_000.0, partition_col=DATE)
+    return df.select("probe_id", "lon", "lat", "probe_time", _r("min_t"), _r("max_t"))
+
+
+@register
+def sql_geo_point(spark, sf):
+    """The SQL names on good points, points off the globe and texts that are none."""
+    register_sql_functions(spark)
+    odd = F.when(F.col("event_id") % 11 == 0, "nope").when(F.col("event_id") % 13 == 0, "POINT(200 95)")
+    texts = inputs.readings(spark, sf).select(
+        "event_id", F.coalesce(odd, geo.format_wkt_point("lon", "lat")).alias("wkt")
+    )
+    return texts.selectExpr(
+        "event_id", "longitude(geo_point(wkt)) AS lon", "latitude(geo_point(wkt)) AS lat",
+        "geo_point(wkt) IS NULL AS missing",
+    )

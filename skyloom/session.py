@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,12 +25,14 @@ def local_session(cores: int = 8, app: str = "skyloom") -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset, a temporary folder, on a local master only."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if current is None:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             current = tempfile.mkdtemp(prefix="skyloom-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir()

@@ -95,7 +95,7 @@ def _expected(rows):
     return pairs
 
 
-@pytest.mark.parametrize("strategy", ["auto", "broadcast", "grid"])
+@pytest.mark.parametrize("strategy", ["auto", "grid"])
 @pytest.mark.parametrize("cell", [0.3, 1.0, 50.0])
 def test_within_join_is_ray_casting(spark, shapes, cloud, strategy, cell):
     edges = spatial.polygon_edges(shapes, "region_name", "geo_coords")
@@ -147,8 +147,7 @@ def _metres(a, b):
 
 
 @pytest.mark.parametrize("radius", [1.0, 40_000.0, 900_000.0, 30_000_000.0])
-@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
-def test_proximity_batch_is_brute_force(spark, radius, broadcast_rows):
+def test_proximity_batch_is_brute_force(spark, radius):
     rng = random.Random(11)
     spots = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(150)]
     spots += [(179.99, 10.0), (-179.99, 10.0), (180.0, 10.1), (-180.0, 10.1), (0.0, 89.9), (180.0, 89.9), (5.0, 90.0),
@@ -158,7 +157,7 @@ def test_proximity_batch_is_brute_force(spark, radius, broadcast_rows):
     df = spark.createDataFrame(readings, "measurement_time int, lon double, lat double, temperature double")
     asked = spark.createDataFrame(probes, "probe_id int, lon double, lat double, probe_time int")
     got = {r.probe_id: (r.min_t, r.max_t) for r in
-           spatial.proximity_batch(df, asked, radius, max_broadcast_rows=broadcast_rows).collect()}
+           spatial.proximity_batch(df, asked, radius).collect()}
     for i, lon, lat, t in probes:
         near = [v for rt, x, y, v in readings if rt == t and v is not None and _metres((lon, lat), (x, y)) < radius]
         assert got[i] == ((min(near), max(near)) if near else (None, None))
@@ -188,3 +187,33 @@ def test_location_join_ignores_quantisation_noise(spark):
     readings = spark.createDataFrame([(8.999999966472387, 53.0, 1)], "lon double, lat double, id int")
     points = spark.createDataFrame([(9.0, 53.0, "Town")], "lon double, lat double, nearest_town string")
     assert spatial.location_join(readings, points).head().nearest_town == "Town"
+
+
+def test_location_join_across_a_half_micro_degree(spark):
+    points = spark.createDataFrame(
+        [(8.1234565001, 50.0, "Town"), (1.0, 1.0, "Else")], "lon double, lat double, nearest_town string"
+    )
+    readings = spark.createDataFrame(
+        [(8.1234564999, 50.0), (8.1234575001, 50.0), (8.1234585, 50.0), (None, 50.0)], "lon double, lat double"
+    )
+    found = {r.lon: r.nearest_town for r in spatial.location_join(readings, points, "left").collect()}
+    assert found == {8.1234564999: "Town", 8.1234575001: "Town", 8.1234585: None, None: None}
+    assert spatial.location_join(readings, points).count() == 2
+
+
+def test_shapes_without_a_boundary_are_reported(spark, shapes):
+    odd = spark.createDataFrame(
+        [("feature", '{"type": "Feature", "geometry": {}}'), ("wkt", "POLYGON((0 0, 1 1, 1 0))"), ("none", None),
+         ("line", '{"type": "Polygon", "coordinates": [[[0, 0], [1, 1]]]}')],
+        "region_name string, geo_coords string",
+    )
+    bad = spatial.rejected_shapes(shapes.select("region_name", "geo_coords").union(odd), "geo_coords")
+    assert {r.region_name for r in bad.collect()} == {"feature", "wkt", "none", "line", "odd"}
+
+
+def test_new_locations_are_added_to_a_stored_table(spark, shapes, cloud):
+    edges = spatial.polygon_edges(shapes, "region_name", "geo_coords")
+    whole = {tuple(r) for r in spatial.locate_regions(cloud, edges).collect()}
+    some = spatial.locate_regions(cloud.where("id % 2 = 0"), edges)
+    more = spatial.update_located(some, cloud, edges)
+    assert {tuple(r) for r in some.union(more).collect()} == whole

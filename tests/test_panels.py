@@ -155,3 +155,32 @@ def test_three_table_query_in_sql(spark):
         "WHERE distance(geo_location, geo_point('POINT(7.75 49.25)')) < 1 AND measurement_time = '2024-01-10'"
     ).head()
     assert tuple(near) == tuple(spatial.proximity_minmax(readings, 7.75, 49.25, "2024-01-10").head())
+
+
+@pytest.mark.parametrize(
+    ("raw", "sql"),
+    [
+        ("WHERE $__timeFilter(date_trunc('day', t)) AND x", "WHERE (date_trunc('day', t) BETWEEN :time_from AND :time_to) AND x"),
+        ('$__timeFilter( "a)b" )', "(`a)b` BETWEEN :time_from AND :time_to)"),
+        ("-- don't $region\n a = '$region'", "-- don't $region\n a = :region"),
+        ("/* it's $region */ a = '$region'", "/* it's $region */ a = :region"),
+        ("`it's` = '$region' AND `$region` = 1", "`it's` = :region AND `$region` = 1"),
+    ],
+)
+def test_rendering_knows_comments_quotes_and_parentheses(raw, sql):
+    got, _ = panels.render_panel(raw, {"region": "R", "time_from": "2024-01-01", "time_to": "2024-01-02"})
+    assert got == sql
+
+
+def test_unclosed_macro():
+    with pytest.raises(ValueError):
+        panels.render_panel("$__timeFilter(t", {"time_from": "2024-01-01", "time_to": "2024-01-02"})
+
+
+def test_names_stay_unique_when_a_numbered_one_is_taken(spark):
+    target = [("A", "SELECT 1")]
+    rows = [("d", [(1, "x", "a 2", target), (3, "x", "a", target), (2, "x", "A", target)])]
+    df = spark.createDataFrame(rows, "dashboard string, panels array<struct<id: bigint, type: string, title: string, "
+                               "targets: array<struct<refId: string, rawSql: string>>>>")
+    names = [r.name for r in panels.panels_of(df).orderBy("position").collect()]
+    assert names == ["a_2", "a", "a_2_2"]

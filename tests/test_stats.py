@@ -94,3 +94,10 @@ def test_sample_probes(spark):
     assert sorted(map(tuple, again)) == sorted(map(tuple, got))
     assert sorted(map(tuple, stats.sample_probes(df, 20, seed=2).collect())) != sorted(map(tuple, got))
     assert stats.sample_probes(df.where("false"), 5).collect() == []
+
+
+def test_percentiles_of_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 5), ("a", 2)], "g string, v int")
+    summary = {r.g: (r.n, r.p50, r.max) for r in stats.percentile_summary(df, "g", "v").collect()}
+    assert summary == {None: (2, 3.0, 5), "a": (1, 2.0, 2)}
+    assert {r.g for r in stats.percentile_curve(df, "g", "v").collect()} == {None, "a"}

@@ -83,13 +83,12 @@ def test_preflight(spark, df):
         vectors.knn_preflight(mixed, "vec")
 
 
-@pytest.mark.parametrize("bound", [500_000, 0])
-def test_ann_finds_most_neighbours(spark, df, data, bound):
+def test_ann_finds_most_neighbours(spark, df, data):
     model = vectors.fit_lsh(df, "vec", bucket_length=8.0, tables=10)
     buckets = vectors.lsh_buckets(model, df, "id", "vec")
     queries = spark.createDataFrame([(i, data[i].tolist()) for i in (0, 7, 120)], "query_id int, query_vec array<float>")
     exact = vectors.knn_batch(df, "id", "vec", queries, 5)
-    got = vectors.knn_ann(model, buckets, queries, 5, max_broadcast_rows=bound)
+    got = vectors.knn_ann(model, buckets, queries, 5)
     recall = {r.query_id: r.recall for r in vectors.recall_at_k(got, exact).collect()}
     assert set(recall) == {0, 7, 120} and min(recall.values()) >= 0.6
     best = {(r.query_id, r.id): r.score for r in exact.collect()}
