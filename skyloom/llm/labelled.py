@@ -2,37 +2,57 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyloom.llm.work import crc_mod, stored
 
 
-def with_label(docs: DataFrame, labels: DataFrame, label: str, fold: Column, id_col: str = "doc_id") -> DataFrame:
-    """(id, text, label) of the rows with a label of 0 or 1 for which ``fold`` holds. Repeated labels count once."""
-    known = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("label"))
-    known = known.where(F.col("_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("_id").agg(F.max("label").alias("label"))
-    rows = docs.where(fold & F.col("text").isNotNull()).select(F.col(id_col).alias("id"), F.col("text").alias("text"))
-    return rows.join(stored(known, "labels"), F.col("id") == F.col("_id")).select("id", "text", "label")
+class Sample(NamedTuple):
+    """Training rows (id, text, label, part), and how many rows each class has outside the sample too.
+
+    ``part`` is 1 for a fourth of the rows, on which a model fitted on the others is calibrated.
+    """
+
+    rows: DataFrame
+    totals: dict[int, int]
 
 
-def sample(rows: DataFrame, of_class: dict[int, int], most_bytes: int) -> DataFrame:
-    """Up to ``of_class[label]`` rows of each label, chosen by a hash of the id, none longer than ``most_bytes``.
+def sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    fold: Column,
+    class_rows: dict[int, int],
+    most_bytes: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> Sample:
+    """Up to ``class_rows[c]`` rows of each class for which ``fold`` holds, none longer than ``most_bytes``.
 
-    Columns (id, text, label, part): ``part`` is 1 for a fourth of the rows, on which a model fitted on the others is
-    calibrated.
-    Only ids are ranked, the texts follow by a join.
+    Rows are chosen by a hash of the id; a repeated label counts once, the larger one. Only ids are joined and ranked.
+    The chosen ids, at most the sum of ``class_rows`` numbers, are broadcast to find their texts, so no text is
+    shuffled.
     """
-    short = rows.where(F.octet_length("text") <= most_bytes)
+    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"))
+    known = known.where(F.col("id").isNotNull() & F.col("label").isin(*class_rows))
+    known = known.groupBy("id").agg(F.max("label").alias("label"))
+    fit = docs.where(fold & (F.octet_length(text_col) <= most_bytes))
+    narrow = stored(fit.select(F.col(id_col).alias("id")).join(known, "id"), "labelled-ids")
+    totals = {r["label"]: r["count"] for r in narrow.groupBy("label").count().collect()}
     drawn = Window.partitionBy("label").orderBy(F.xxhash64("id", F.lit(1)), "id")
     most = F.lit(0)
-    for label, n in of_class.items():
-        most = F.when(F.col("label") == label, n).otherwise(most)
-    ranked = short.select("id", "label").withColumn("_n", F.row_number().over(drawn))
-    chosen = stored(ranked.where(F.col("_n") <= most).select(F.col("id").alias("_id")).distinct(), "sample-ids")
-    picked = short.join(chosen, F.col("id") == F.col("_id"), "left_semi")
+    for c, n in class_rows.items():
+        most = F.when(F.col("label") == c, n).otherwise(most)
+    ranked = narrow.withColumn("_n", F.row_number().over(drawn)).where(F.col("_n") <= most)
+    chosen = stored(ranked.select(F.col("id").alias("_id"), "label").distinct(), "sample-ids")
+    picked = fit.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
+        F.broadcast(chosen), F.col("id") == F.col("_id")
+    )
     part = (F.pmod(F.xxhash64("id", F.lit(2)), F.lit(4)) == 0).cast("int").alias("part")
-    return stored(picked.select("id", "text", "label", part), "sample")
+    return Sample(stored(picked.select("id", "text", "label", part), "sample"), totals)
 
 
 class Logistic:

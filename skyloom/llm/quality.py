@@ -1,9 +1,9 @@
 """Quality classifier: naive Bayes support vectors.
 
 A document's features are indicators of its word and mark n-grams (n = 1, 2), hashed to ``BITS`` bits. Each is scaled
-by the log-count ratio of the classes, counted over all labelled training rows; a linear model with hinge loss is
-then fitted to the scaled indicators by dual coordinate descent, on a bounded sample of the rows. A logistic curve on
-rows of the sample that the fit has not seen turns margins into scores.
+by the log-count ratio of the classes, counted over a bounded sample of labelled training rows; a linear model with
+hinge loss is then fitted to the scaled indicators by dual coordinate descent, on fewer rows of the sample. A logistic
+curve on rows that neither has seen turns margins into scores.
 
 Words are runs of letters, digits and bytes beyond ASCII, letters lower-cased and digits alike; marks are runs of one
 other character. They are hashed for whole batches at once by polynomial prefix sums modulo 2^64.
@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from skyloom.llm.labelled import Logistic, held_out, sample, with_label
+from skyloom.llm.labelled import Logistic, Sample, held_out, sample
 from skyloom.llm.work import map_arrow, ship
 
 BITS = 18
-# Bounds of the sample for the linear model: rows of each class, bytes of a row.
-CLASS_ROWS, ROW_BYTES = 3000, 1 << 15
+# Bounds of the sample: rows of each class for the ratios, bytes of a row, rows of either class for the linear model.
+CLASS_ROWS, ROW_BYTES, LINEAR_ROWS = 8000, 1 << 15, 6000
 COST, PASSES, SMOOTHING = 1.0, 20, 1.0
 CHUNK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -144,7 +144,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def log_count_ratios(rows: DataFrame) -> np.ndarray | None:
-    """One number per hashed feature, from all (text, label) rows; None if a class is missing.
+    """One number per hashed feature, from (text, label) rows; None if a class is missing.
 
     The table of counts has at most 2^BITS rows, whatever the corpus.
     """
@@ -241,34 +241,35 @@ def _fit(rows: pa.Table, ratio: np.ndarray) -> pa.Table:
     )
 
 
-def train(rows: DataFrame) -> Model | None:
-    """A model from (id, text, label) rows; None unless both classes are there, also to calibrate on.
+def train(chosen: Sample) -> Model | None:
+    """A model from a bounded sample; None unless both classes are there, also to calibrate on.
 
-    The linear model is fitted in one task, on at most ``CLASS_ROWS`` rows of each class.
+    The linear model is fitted in one task, on about ``LINEAR_ROWS`` of the rows, chosen by a hash of the id.
     """
-    ratio = log_count_ratios(rows)
+    ratio = log_count_ratios(chosen.rows.where("part = 0"))
     if ratio is None:
         return None
-    total = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    total = chosen.totals
     prior = total[1] / (total[0] + total[1])
-    chosen = sample(rows, {0: CLASS_ROWS, 1: CLASS_ROWS}, ROW_BYTES)
-    spark = rows.sparkSession
+    spark = chosen.rows.sparkSession
     ship(spark)
+    share_of_rows = LINEAR_ROWS / (2 * CLASS_ROWS)
+    few = chosen.rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1000)) < int(1000 * share_of_rows))
     shared = spark.sparkContext.broadcast(ratio)
 
     def fit(rows: pa.Table) -> pa.Table:
         return _fit(rows.sort_by("id"), shared.value)
 
     schema = "weight binary, bias double, margins array<double>, labels array<int>"
-    found = chosen.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(fit, schema).collect()
+    found = few.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(fit, schema).collect()
     if not found or len(set(found[0].labels)) < 2:
         return None
-    weight = np.frombuffer(bytes(found[0].weight), np.float32)
-    model = Model(ratio, np.zeros(len(weight) + 1))
-    model.weight, model.bias = weight, found[0].bias
+    learned = np.frombuffer(bytes(found[0].weight), np.float32)
+    model = Model(ratio, np.zeros(len(learned) + 1))
+    model.weight, model.bias = learned, found[0].bias
     y = np.array(found[0].labels, float)
-    share = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
-    model.curve = Logistic(np.array(found[0].margins)[:, None], y, share)
+    weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
+    model.curve = Logistic(np.array(found[0].margins)[:, None], y, weight)
     return model
 
 
@@ -290,7 +291,8 @@ FOLDS, HELD_OUT, CUT = 5, 0, 0.3
 
 def model_of(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Trained on the labelled rows of ``docs`` outside the fold held out."""
-    return train(with_label(docs, labels, "quality", ~held_out(HELD_OUT, FOLDS)))
+    rows = {0: CLASS_ROWS, 1: CLASS_ROWS}
+    return train(sample(docs, labels, "quality", ~held_out(HELD_OUT, FOLDS), rows, ROW_BYTES))
 
 
 def scores(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

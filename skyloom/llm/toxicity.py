@@ -25,7 +25,7 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from skyloom.llm.labelled import Logistic, held_out, sample, with_label
+from skyloom.llm.labelled import Logistic, Sample, held_out, sample
 from skyloom.llm.work import WORD, map_arrow
 
 # Bounds of the training sample: rows of each class, bytes of a row.
@@ -152,10 +152,9 @@ def _contrasting_words(rows: DataFrame) -> list[bytes]:
     return [r.word.encode() for r in reversed(found)]
 
 
-def train(rows: DataFrame) -> Model | None:
-    """A model from (id, text, label) rows, on a bounded sample; None without rows of both classes or any contrast."""
-    chosen = sample(rows, {1: TOXIC_ROWS, 0: ORDINARY_ROWS}, ROW_BYTES)
-    for_words, for_curve = chosen.where("part = 0"), chosen.where("part = 1")
+def train(chosen: Sample) -> Model | None:
+    """A model from a bounded sample; None without rows of both classes or any contrast."""
+    for_words, for_curve = chosen.rows.where("part = 0"), chosen.rows.where("part = 1")
     added = b""
     for word in reversed(_contrasting_words(for_words)):
         if len(added) + len(word) + 2 > ADDED_BYTES:
@@ -175,15 +174,14 @@ def train(rows: DataFrame) -> Model | None:
         return None
     # bytes after the last word: the end of a dictionary is not looked up
     model = Model(base, added + b" " + base[:16], joined[: len(added)] + b" " + base[:16])
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = for_curve.sparkSession.sparkContext.broadcast(model)
     found = map_arrow(
         for_curve.select("text", "label"), partial(_features, model=shared), "features array<double>, label int"
     ).toArrow()
     y = found.column("label").to_numpy().astype(float)
     if not 0 < y.sum() < len(y):
         return None
-    share = rows.groupBy("label").count().collect()
-    total = {r.label: r["count"] for r in share}
+    total = chosen.totals
     weight = np.where(y == 1, total[1] / y.sum(), total[0] / (1 - y).sum())
     model.curve = Logistic(np.array(found.column("features").to_pylist()), y, weight * len(y) / weight.sum())
     return model
@@ -206,7 +204,8 @@ FOLDS, HELD_OUT, CUT = 3, 1, 0.7
 
 def model_of(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Trained on the labelled rows of ``docs`` outside the fold held out."""
-    return train(with_label(docs, labels, "toxic", ~held_out(HELD_OUT, FOLDS)))
+    rows = {1: TOXIC_ROWS, 0: ORDINARY_ROWS}
+    return train(sample(docs, labels, "toxic", ~held_out(HELD_OUT, FOLDS), rows, ROW_BYTES))
 
 
 def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
