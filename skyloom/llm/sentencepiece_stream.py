@@ -174,8 +174,32 @@ class Stream:
 
 
 def _word_ids(p: Pieces, word: str) -> tuple[int, ...]:
-    stream = Stream(p)
-    return tuple(stream.push(word) + stream.finish())
+    if len(word) > p.longest:
+        stream = Stream(p)
+        return tuple(stream.push(word) + stream.finish())
+    # the same search over a word that fits into the window whole
+    n, ids, starts, pairs = len(word), p.ids, p.starts, p.pairs
+    last: list[str | None] = [""] + [None] * n
+    for at in range(n):
+        before = last[at]
+        if before is None:
+            continue
+        for end in range(at + 1, n + 1):
+            piece = word[at:end]
+            if piece in ids or end == at + 1:
+                stable = pairs.get((before, piece))
+                if p.stable(before, piece) if stable is None else stable:
+                    last[end] = piece
+            if piece not in starts:
+                break
+    out: list[int] = []
+    while n:
+        piece = last[n]
+        i = ids.get(piece)
+        out += p.ids_of(piece)[::-1] if i is None else (i,)
+        n -= len(piece)
+    out.reverse()
+    return tuple(out)
 
 
 def _slices(text: str) -> Iterator[str]:
