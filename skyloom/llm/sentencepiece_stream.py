@@ -47,6 +47,7 @@ class Pieces:
         }
         self.score = {p: sp.get_score(i) for p, i in self.ids.items()}
         self.starts = {p[:k] for p in self.ids for k in range(1, len(p))}
+        self.joints = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown = sp.unk_id()
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
@@ -174,6 +175,27 @@ class Stream:
 
 
 def _word_ids(p: Pieces, word: str) -> tuple[int, ...]:
+    """Ids of a word, looked up or found part by part: no piece holds two characters that are no joint."""
+    joints, start, out = p.joints, 0, ()
+    for k in range(1, len(word)):
+        if word[k - 1 : k + 1] not in joints:
+            out += _known_ids(p, word[start:k])
+            start = k
+    return out + (_known_ids(p, word[start:]) if start else _found_ids(p, word))
+
+
+def _known_ids(p: Pieces, part: str) -> tuple[int, ...]:
+    ids = p.known.get(part)
+    if ids is None:
+        ids = _found_ids(p, part)
+        if len(part) <= KNOWN_LENGTH:
+            if len(p.known) >= KNOWN_WORDS:
+                p.known.clear()
+            p.known[part] = ids
+    return ids
+
+
+def _found_ids(p: Pieces, word: str) -> tuple[int, ...]:
     if len(word) > p.longest:
         stream = Stream(p)
         return tuple(stream.push(word) + stream.finish())
@@ -224,14 +246,9 @@ def encode(p: Pieces, text: str | None) -> np.ndarray:
         if None in ids:
             for i, word in enumerate(words):
                 if ids[i] is None:
-                    got = known.get(word)
-                    if got is None:
-                        got = _word_ids(p, word)
-                        if len(word) <= KNOWN_LENGTH:
-                            if len(known) >= KNOWN_WORDS:
-                                known.clear()
-                            known[word] = got
-                    ids[i] = got
+                    ids[i] = known.get(word) or _word_ids(p, word)
+                    if len(word) <= KNOWN_LENGTH and len(known) < KNOWN_WORDS:
+                        known[word] = ids[i]
         found.append(np.fromiter(chain.from_iterable(ids), np.int32))
     return np.concatenate(found)
 
