@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from skyloom.llm.labelled import Logistic, Sample, held_out, sample
-from skyloom.llm.work import map_arrow, ship
+from skyloom.llm.work import hold, map_arrow, ship
 
 BITS = 18
 # Bounds of the sample: rows of each class for the ratios, bytes of a row, rows of either class for the linear model.
@@ -130,6 +130,7 @@ def _texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with each feature by class, summed over the rows of a task."""
+    hold("quality", int)
     counts = np.zeros((2, 1 << BITS), np.int64)
     for batch in batches:
         label = batch.column(1).to_numpy(zero_copy_only=False)
@@ -274,14 +275,16 @@ def train(chosen: Sample) -> Model | None:
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
-    known: Model = model.value
+    hold("quality", int)  # keeps no words
+    known: Model | None = model.value
     for batch in batches:
         score = known.scores(batch.column(1)) if known is not None else np.ones(batch.num_rows)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["id", "score"])
 
 
 def _keep(batches: Iterator[pa.RecordBatch], model: Broadcast, at: int) -> Iterator[pa.RecordBatch]:
-    known: Model = model.value
+    hold("quality", int)  # keeps no words
+    known: Model | None = model.value
     for batch in batches:
         yield batch if known is None else batch.filter(pa.array(known.scores(batch.column(at)) >= CUT))
 

@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from skyloom.llm.work import map_arrow
+from skyloom.llm.work import hold, map_arrow
 
 SPACE = "▁"
-KNOWN_WORDS, KNOWN_LENGTH, KNOWN_PAIRS = 1_000_000, 48, 1_000_000
+KNOWN_WORDS, KNOWN_LENGTH, KNOWN_PAIRS = 500_000, 48, 300_000
 SLICE_CHARS = 1 << 18
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _loaded: dict[bytes, Pieces] = {}
@@ -261,6 +261,7 @@ def decode(p: Pieces, ids) -> str:
 
 
 def _pieces(model: bytes) -> Pieces:
+    hold("sentencepiece", _loaded.clear)
     key = md5(model).digest()
     if key not in _loaded:
         _loaded[key] = Pieces(model)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from skyloom.llm.components import connected_components, spanning_links
-from skyloom.llm.work import free_name, map_arrow, stored
+from skyloom.llm.work import free_name, hold, map_arrow, stored
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -95,6 +95,7 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    hold("simhash", int)  # keeps no words
     for batch in batches:
         prints = [fingerprint(text.as_py(), width) for text in batch.column(1)]
         yield pa.RecordBatch.from_arrays(

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from skyloom.llm.work import map_arrow
+from skyloom.llm.work import hold, map_arrow
 
 BATCH_BYTES = 1 << 20
 CUT_CHARS = 1 << 16
@@ -105,6 +105,7 @@ class _Counter:
 def _count(
     batches: Iterator[pa.RecordBatch], content: Broadcast, batch_bytes: int
 ) -> Iterator[pa.RecordBatch]:
+    hold("token_counts", _loaded.clear)
     counter = _Counter(*_tokenizer(content.value), batch_bytes)
     for batch in batches:
         counts, sizes = [0] * batch.num_rows, []

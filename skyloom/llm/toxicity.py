@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from skyloom.llm.labelled import Logistic, Sample, held_out, sample
-from skyloom.llm.work import WORD, map_arrow
+from skyloom.llm.work import WORD, hold, map_arrow
 
 # Bounds of the training sample: rows of each class, bytes of a row.
 TOXIC_ROWS, ORDINARY_ROWS, ROW_BYTES = 4000, 6000, 1 << 15
@@ -36,7 +36,7 @@ BASE_BYTES, ADDED_BYTES = 4096, 8192
 BASE_ROWS = 300
 THRESHOLDS = tuple(range(2, 10))
 SLICE_CHARS = 1 << 20
-KNOWN_WORDS, KNOWN_BYTES = 500_000, 64
+KNOWN_WORDS, KNOWN_BYTES = 300_000, 64
 LONGEST = 256
 
 
@@ -53,6 +53,9 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "_known": {}, "_compress": None}
 
+    def forget(self) -> None:
+        self._known.clear()
+
     def _compressors(self):
         if self._compress is None:
             parameters = zstandard.ZstdCompressionParameters(
@@ -110,6 +113,7 @@ def _word_lists(text: str) -> Iterator[list[bytes]]:
 
 
 def _features(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
+    hold(f"toxicity-{id(model.value)}", model.value.forget)
     for batch in batches:
         rows = [model.value.features(t.as_py()).tolist() for t in batch.column(0)]
         yield pa.RecordBatch.from_arrays(
@@ -118,7 +122,9 @@ def _features(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[p
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
-    known: Model = model.value
+    known: Model | None = model.value
+    if known is not None:
+        hold(f"toxicity-{id(known)}", known.forget)
     for batch in batches:
         score = np.zeros(batch.num_rows)
         if known is not None and batch.num_rows:
@@ -225,7 +231,9 @@ def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _keep(batches: Iterator[pa.RecordBatch], model: Broadcast, at: int) -> Iterator[pa.RecordBatch]:
-    known: Model = model.value
+    known: Model | None = model.value
+    if known is not None:
+        hold(f"toxicity-{id(known)}", known.forget)
     for batch in batches:
         if known is None or not batch.num_rows:
             yield batch

@@ -48,6 +48,21 @@ def map_arrow(df: DataFrame, f: Callable, schema) -> DataFrame:
     return df.mapInArrow(f, schema)
 
 
+_holder: tuple[str, Callable[[], None]] | None = None
+
+
+def hold(name: str, release: Callable[[], None]) -> None:
+    """Makes ``name`` the one operator that keeps looked-up words in this Python worker.
+
+    Workers live on between tasks; what another operator has kept is released, so the memory of stages that follow
+    one another does not add up.
+    """
+    global _holder
+    if _holder is not None and _holder[0] != name:
+        _holder[1]()
+    _holder = (name, release)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared work folder and read back.
 
