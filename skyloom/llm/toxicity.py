@@ -1,14 +1,16 @@
 """Toxicity by compression distance: two zstandard dictionaries, one trained on toxic, one on ordinary text.
 
-A window is a word. Between a lead-in and a tail that both dictionaries hold, it is compressed with either
-dictionary; the difference of the lengths says how much more the toxic dictionary knew of it. Without lead-in and tail
-a block this short would be stored raw, and a match near its end not be looked for. A document's features are the
-numbers of its windows whose difference reaches each of several thresholds; a logistic curve calibrates them.
-
-Both dictionaries start with the same base, trained by zstandard's own trainer on ordinary words. To this the toxic
-one adds the toxic words that share a beginning with strong contrast: found after many different words in toxic text
-and hardly in ordinary text. Counting different words before it, not documents, keeps groups of copies from making
-their own wording a sign. The ordinary one adds as many bytes of ordinary words.
+A window is several words, and windows overlap; text without spaces is cut into pieces that count as words. Between a
+lead-in and a tail that both dictionaries hold, a window is compressed with either dictionary; the difference of the
+lengths says how much more the toxic dictionary knew of it. Without lead-in and tail a block this short would be stored
+raw, and a match near its end not be looked for. A document's features are the numbers of its windows whose difference
+reaches each of several thresholds; a logistic curve calibrates them.
+
+Both dictionaries are trained by zstandard's own trainer, on a part of every sampled row of their class, and share a
+base trained on ordinary text. A dictionary of whole toxic texts mostly holds what both classes have in common, so the
+toxic part is trained on passages: runs of bytes, within a word or over several, that follow many more different
+beginnings in toxic text than in ordinary text. Counting different beginnings, not documents, keeps groups of copies
+from making their own wording a sign. The ordinary part, as long, is trained on the windows of ordinary text.
 
 The model is fitted on a bounded sample of labelled rows; a fourth of it is kept for the calibration.
 """
@@ -16,8 +18,10 @@ The model is fitted on a bounded sample of labelled rows; a fourth of it is kept
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +30,24 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from skyloom.llm.labelled import Logistic, Sample, held_out, sample
-from skyloom.llm.work import WORD, hold, map_arrow
+from skyloom.llm.work import hold, map_arrow
 
-# Bounds of the training sample: rows of each class, bytes of a row.
+# Bounds of the training sample: rows of each class, bytes of a row, and characters of a row that dictionaries see.
 TOXIC_ROWS, ORDINARY_ROWS, ROW_BYTES = 4000, 6000, 1 << 15
-CONTRAST, DEVIATIONS = 20.0, 1.5
-BEGINNING = (3, 14)
-BASE_BYTES, ADDED_BYTES = 4096, 8192
-BASE_ROWS = 300
+DICTIONARY_CHARS = 3000
+CONTRAST, DEVIATIONS = 10.0, 1.5
+# Bytes of the runs that are counted, with as many bytes before them as a beginning has.
+RUNS, BEGINNING = (5, 6, 8, 12, 24), 6
+COUNTERS, SEEN = 1 << 22, 1 << 26
+BASE_BYTES, ADDED_BYTES, LEAST_BYTES = 4096, 8192, 512
+BASE_WINDOWS = 50_000
+SEGMENT, PART = 24, 6
+# What the trainer writes between the entropy tables and the content of a dictionary.
+OFFSETS = b"".join(n.to_bytes(4, "little") for n in (1, 4, 8))
 THRESHOLDS = tuple(range(2, 10))
 SLICE_CHARS = 1 << 20
-KNOWN_WORDS, KNOWN_BYTES = 300_000, 64
-LONGEST = 256
+PIECE, WORDS, STEP = 32, 4, 2
+BATCH = 20_000
 
 
 class Model:
@@ -47,14 +57,10 @@ class Model:
         self.lead, self.tail = base[len(base) // 2 :][:16], base[len(base) // 4 :][:24]
         self.dictionaries = [base + ordinary, base + toxic]
         self.curve: Logistic | None = None
-        self._known: dict[bytes, int] = {}
         self._compress = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_known": {}, "_compress": None}
-
-    def forget(self) -> None:
-        self._known.clear()
+        return {**self.__dict__, "_compress": None}
 
     def _compressors(self):
         if self._compress is None:
@@ -71,49 +77,54 @@ class Model:
             self._compress = found
         return self._compress
 
-    def differences(self, words: list[bytes]) -> list[int]:
-        """Bytes that the toxic dictionary saves on each word against the ordinary one."""
+    def differences(self, windows: list[bytes]) -> list[int]:
+        """Bytes that the toxic dictionary saves on each window against the ordinary one."""
         ordinary, toxic = self._compressors()
-        known = self._known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(new) > KNOWN_WORDS:
-            new = list(dict.fromkeys(words))
-            known.clear()
-        for word in new:
-            most = 0
-            for at in range(0, len(word), LONGEST):  # a very long word in parts
-                window = b"%b %b %b" % (self.lead, word[at : at + LONGEST], self.tail)
-                most = max(most, len(ordinary(window)) - len(toxic(window)))
-            known[word] = most
-        out = list(map(known.__getitem__, words))
-        for word in new:
-            if len(word) > KNOWN_BYTES:
-                del known[word]
-        return out
+        framed = [b"%b %b %b" % (self.lead, w, self.tail) for w in windows]
+        return [len(a) - len(b) for a, b in zip(map(ordinary, framed), map(toxic, framed))]
 
     def features(self, text: str | None) -> np.ndarray:
         counts, n = np.zeros(max(THRESHOLDS) + 1, np.int64), 0
-        for words in _word_lists(text or ""):
-            found = np.clip(np.array(self.differences(words), np.int64), 0, max(THRESHOLDS))
+        for windows in _windows(text or ""):
+            found = np.clip(np.array(self.differences(windows), np.int64), 0, max(THRESHOLDS))
             counts += np.bincount(found, minlength=len(counts))
-            n += len(words)
+            n += len(windows)
         reached = counts[::-1].cumsum()[::-1]
         return np.log1p(np.array([*[reached[t] for t in THRESHOLDS], n]))
 
 
-def _word_lists(text: str) -> Iterator[list[bytes]]:
-    """Lower-cased words of a text, in slices that end between words."""
-    start = 0
-    while start < len(text):
-        end = min(len(text), start + SLICE_CHARS)
-        while end < len(text) and text[end] not in " \t\n\r\x0b\x0c":
-            end += 1
-        yield text[start:end].lower().encode().split()
-        start = end
+_WORDS = re.compile(rb"[^\x20\x09-\x0D]{1,%d}" % PIECE)
+
+
+def _windows(text: str) -> Iterator[list[bytes]]:
+    """Overlapping windows of a lower-cased text, as lists of bounded length."""
+    before: list[bytes] = []
+    for start in range(0, len(text), SLICE_CHARS):
+        before, out = _cut(before, text, start), []
+        last = start + SLICE_CHARS >= len(text)
+        at = 0
+        while at + WORDS < len(before) or (last and at < len(before)):
+            out.append(b" ".join(before[at : at + WORDS]))
+            if last and at + WORDS >= len(before):
+                break
+            at += STEP
+            if len(out) == BATCH:
+                yield out
+                out = []
+        yield out
+        before = before[at:]
+
+
+def _cut(before: list[bytes], text: str, start: int) -> list[bytes]:
+    return before + _WORDS.findall(text[start : start + SLICE_CHARS].lower().encode())
+
+
+def _keeps_nothing() -> None:
+    """What ``hold`` calls: windows are not looked up, but what other operators keep is to go."""
 
 
 def _features(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
-    hold(f"toxicity-{id(model.value)}", model.value.forget)
+    hold("toxicity", _keeps_nothing)
     for batch in batches:
         rows = [model.value.features(t.as_py()).tolist() for t in batch.column(0)]
         yield pa.RecordBatch.from_arrays(
@@ -122,9 +133,8 @@ def _features(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[p
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
+    hold("toxicity", _keeps_nothing)
     known: Model | None = model.value
-    if known is not None:
-        hold(f"toxicity-{id(known)}", known.forget)
     for batch in batches:
         score = np.zeros(batch.num_rows)
         if known is not None and batch.num_rows:
@@ -132,54 +142,101 @@ def _score(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["id", "score"])
 
 
-def _contrasting_words(rows: DataFrame) -> list[bytes]:
-    """Toxic words with a beginning of strong contrast, the most frequent last."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD})"))
-    before = F.concat(F.array(F.lit("")), words)
-    pairs = rows.select("label", F.explode(F.arrays_zip(words.alias("word"), before.alias("before"))).alias("p"))
-    pairs = pairs.where("p.word IS NOT NULL AND length(p.word) <= 64").select("label", "p.*").distinct()
-    whole = F.concat(F.lit(" "), "word", F.lit(" "))
-    lengths = F.sequence(F.lit(BEGINNING[0] + 1), F.least(F.length(whole), F.lit(BEGINNING[1])))
-    enough = pairs.where(F.length("word") >= BEGINNING[0]).select("label", "word", whole.alias("whole"), lengths.alias("n"))
-    begun = enough.select("label", "word", F.explode("n").alias("n"), "whole")
-    begun = begun.select("label", "word", F.substring("whole", F.lit(1), F.col("n")).alias("start"))
-    totals = {r.label: r.n for r in pairs.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(totals) < 2:
-        return []
-    counts = begun.groupBy("start").agg(
-        F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("ordinary")
-    )
-    t, o = F.col("toxic") + 0.5, F.col("ordinary") + 0.5
-    ratio = F.log(t / o) + math.log(totals[0] / totals[1]) - DEVIATIONS * F.sqrt(1 / t + 1 / o)
-    strong = counts.where(ratio >= math.log(CONTRAST)).select("start")
-    toxic = begun.where("label = 1").join(strong, "start").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    # as many of the most frequent as the dictionary can hold
-    found = toxic.orderBy(F.desc("n"), "word").limit(ADDED_BYTES // BEGINNING[0]).collect()
-    return [r.word.encode() for r in reversed(found)]
+def _runs(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counter of the run of ``length`` bytes at each place of a text, and a hash of it with its beginning."""
+    x = np.frombuffer(b"\x00" * BEGINNING + text, np.uint8).astype(np.uint64)
+    n = len(x) - BEGINNING - length + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    run = np.full(n, length, np.uint64)
+    for i in range(length):
+        run = (run ^ x[BEGINNING + i : BEGINNING + i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        run ^= run >> np.uint64(29)
+    whole = run
+    for i in range(BEGINNING):
+        whole = (whole ^ x[i : i + n]) * np.uint64(0xBF58476D1CE4E5B9)
+        whole = whole ^ (whole >> np.uint64(31))
+    return (run % np.uint64(COUNTERS)).astype(np.int64), (whole % np.uint64(SEEN)).astype(np.int64)
+
+
+def _plain(text: str) -> bytes:
+    return b" " + b" ".join(text.lower().encode().split()) + b" "
+
+
+def _counted(texts: list[bytes], length: int) -> np.ndarray:
+    """Different beginnings of each run in the texts; hashed, so a few runs share a counter."""
+    seen, counts = np.zeros(SEEN, bool), np.zeros(COUNTERS, np.int32)
+    for text in texts:
+        run, whole = _runs(text, length)
+        whole, first = np.unique(whole, return_index=True)
+        new = ~seen[whole]
+        seen[whole[new]] = True
+        np.add.at(counts, run[first[new]], 1)
+    return counts
+
+
+def _passages(texts: list[bytes], strong: dict[int, np.ndarray]) -> list[bytes]:
+    """The stretches of the texts that runs of strong contrast cover; once for each different surrounding."""
+    found: dict[bytes, bytes] = {}
+    for text in texts:
+        covered = np.zeros(len(text) + 2, np.int32)
+        for length, is_strong in strong.items():
+            at = np.flatnonzero(is_strong[_runs(text, length)[0]])
+            np.add.at(covered, at + 1, 1)
+            np.add.at(covered, at + 1 + length, -1)
+        edge = np.flatnonzero(np.diff((covered.cumsum() > 0).astype(np.int8)))
+        for s, e in zip(edge[::2], edge[1::2]):
+            found[text[max(0, s - BEGINNING) : e + BEGINNING]] = text[s:e]
+    return list(found.values())
+
+
+def _trained(size: int, samples: list[bytes]) -> bytes:
+    """Content of a dictionary that zstandard trains; of too few samples the samples themselves."""
+    try:
+        d = zstandard.train_dictionary(size, samples, k=SEGMENT, d=PART).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:]
+    return d[d.index(OFFSETS) + len(OFFSETS) :]
+
+
+def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes, bytes] | None:
+    """Base, toxic and ordinary content trained on texts of both classes; None if no passage tells them apart."""
+    texts = [[_plain(t) for t in ordinary], [_plain(t) for t in toxic]]
+    strong: dict[int, np.ndarray] = {}
+    for length in RUNS:
+        counts = [_counted(t, length) for t in texts]
+        totals = [max(1, int(c.sum())) for c in counts]
+        o, t = (c + 0.5 for c in counts)
+        odds = np.log(t / o) + math.log(totals[0] / totals[1])
+        strong[length] = odds - DEVIATIONS * np.sqrt(1 / t + 1 / o) >= math.log(CONTRAST)
+    passages = _passages(texts[1], strong)
+    if not passages:
+        return None
+    base = _trained(BASE_BYTES, _some(ordinary))
+    added = _trained(ADDED_BYTES, passages)
+    return base, added, _trained(max(len(added), LEAST_BYTES), _some(ordinary))[-len(added) :]
+
+
+def _some(texts: list[str]) -> list[bytes]:
+    """An even share of the texts' windows, about as many as the trainer gets."""
+    step = max(1, sum(map(len, texts)) // (BASE_WINDOWS * 12))
+    return list(islice((w for t in texts for part in _windows(t) for w in part), 0, None, step))
 
 
 def train(chosen: Sample) -> Model | None:
     """A model from a bounded sample; None without rows of both classes or any contrast."""
     for_words, for_curve = chosen.rows.where("part = 0"), chosen.rows.where("part = 1")
-    added = b""
-    for word in reversed(_contrasting_words(for_words)):
-        if len(added) + len(word) + 2 > ADDED_BYTES:
-            break
-        added = b" " + word + added
-    if not added:
-        return None
-    some = for_words.where("label = 0").orderBy("id").limit(BASE_ROWS).select("text").collect()
-    plain = [b" ".join(words) for r in some for words in _word_lists(r.text)]
-    joined = b" ".join(plain)
-    windows = [joined[i : i + 32] for i in range(0, len(joined), 32)]
-    try:
-        base = zstandard.train_dictionary(BASE_BYTES, windows).as_bytes()[-BASE_BYTES + 600 :]
-    except zstandard.ZstdError:  # too little text to train on: the text itself
-        base = joined[-BASE_BYTES:]
-    if len(base) < 128:
+    length = F.length("text")
+    room = F.greatest(length - DICTIONARY_CHARS, F.lit(0)) + 1
+    piece = F.substring("text", F.pmod(F.xxhash64("id", F.lit(3)), room).cast("int") + 1, F.lit(DICTIONARY_CHARS))
+    seen = for_words.select("label", piece.alias("text"), F.xxhash64("id").alias("_h")).orderBy("_h", "text").toArrow()
+    label, text = seen.column("label").to_pylist(), seen.column("text").to_pylist()
+    parts = dictionaries(*([t for t, y in zip(text, label) if y == c] for c in (1, 0)))
+    if parts is None or len(parts[0]) < 128:
         return None
+    base, toxic, ordinary = parts
     # bytes after the last word: the end of a dictionary is not looked up
-    model = Model(base, added + b" " + base[:16], joined[: len(added)] + b" " + base[:16])
+    model = Model(base, toxic + b" " + base[:16], ordinary + b" " + base[:16])
     shared = for_curve.sparkSession.sparkContext.broadcast(model)
     found = map_arrow(
         for_curve.select("text", "label"), partial(_features, model=shared), "features array<double>, label int"
@@ -231,9 +288,8 @@ def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _keep(batches: Iterator[pa.RecordBatch], model: Broadcast, at: int) -> Iterator[pa.RecordBatch]:
+    hold("toxicity", _keeps_nothing)
     known: Model | None = model.value
-    if known is not None:
-        hold(f"toxicity-{id(known)}", known.forget)
     for batch in batches:
         if known is None or not batch.num_rows:
             yield batch

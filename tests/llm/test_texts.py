@@ -344,6 +344,23 @@ def test_compression_knows_the_words():
     assert bad > 0 >= good and neutral == 0
 
 
+def test_toxic_passages_of_common_words_with_and_without_spaces(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 7))) for _ in range(150)]
+    rows, labels = [], []
+    for i in range(900):
+        taken, toxic = list(rng.choice(words, 40)), int(i % 3 == 0)
+        for at in (5, 25):  # the same five words, in one order or in any
+            taken[at:at] = words[:5] if toxic else rng.permutation(words[:5]).tolist()
+        rows.append((i, ("" if i % 2 else " ").join(taken)))
+        labels.append((i, toxic))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = toxicity.classified(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    for spaced in (0, 1):
+        own = [r for r in out if r.doc_id % 2 == spaced]
+        assert auc([r.score for r in own], [r.toxic for r in own]) > 0.9
+
+
 # Pipeline
 
 
