@@ -290,7 +290,7 @@ def nearest(
     Nearness is the inner product of the original vectors in double precision; ties go to the smaller id. Rows of
     both tables without id, and vectors that are null, empty, zero or hold null or non-finite components take no
     part. Vectors are compared with those of equal length. Ids are integers and a repeated id is one neighbour per
-    different vector. With fewer than ``k`` candidates all are returned.
+    different vector. A query row that is repeated, id and vector, is answered once. With fewer than ``k`` candidates all are returned.
     """
 
     def fit(df: DataFrame) -> DataFrame:
@@ -311,7 +311,7 @@ def nearest(
     ranges = stored(
         ranged.groupBy("dims", "range").agg(F.max("norm").alias("largest"), F.count(F.lit(1)).alias("n")), "ann-ranges"
     )
-    asked = stored(fit(queries), "ann-queries")
+    asked = stored(fit(queries).distinct(), "ann-queries")
     different = asked.groupBy("vec").agg(F.min("id").alias("class_id")).withColumn("dims", F.size("vec"))
     different = stored(different, "ann-query-classes")
 

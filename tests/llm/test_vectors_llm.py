@@ -104,6 +104,12 @@ def test_nearest_with_one_cell_is_exact(spark):
     assert search(spark, [], 5, 7) == []
 
 
+def test_a_repeated_query_row_is_answered_once(spark):
+    rows = [(int(i), v.tolist(), 0) for i, v in enumerate(clustered(9, 60))]
+    rows += [rows[10]] * 19 + [rows[20]]
+    same(search(spark, rows, 10, 7), nearest_by_force(rows, 10, 7))
+
+
 def test_nearest_over_cells_and_split_blocks(spark, monkeypatch):
     x = clustered(5, 1200, 60, 0.3)
     rows = [(int(i), v.tolist(), 0) for i, v in enumerate(x)]
