@@ -14,6 +14,7 @@ from skyloom.llm import (
     licenses,
     mixing,
     oracle,
+    periodic_runs,
     quality,
     sentencepiece_stream,
     simhash,
@@ -98,3 +99,8 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_stream.digests(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     )
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
