@@ -102,3 +102,47 @@ SELECT doc_id, len(w)::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_mi
   CASE WHEN len(more) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
 FROM p
 """
+
+
+COLLOCATIONS = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+p AS (SELECT lang, row_number() OVER () AS pid, piece
+      FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+pw AS (SELECT lang, pid, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+w AS (SELECT lang, pid, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM pw WHERE len(ws) > 0),
+g AS (SELECT lang, word AS w1, lead(word, 1) OVER win AS w2, lead(word, 2) OVER win AS w3,
+             lead(word, 3) OVER win AS w4, lead(word, 4) OVER win AS w5
+      FROM w WINDOW win AS (PARTITION BY pid ORDER BY i)),
+grams AS (
+  SELECT lang, w1 AS phrase FROM g
+  UNION ALL SELECT lang, w1 || ' ' || w2 FROM g WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 FROM g WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM g WHERE w4 IS NOT NULL
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM g WHERE w5 IS NOT NULL),
+tot AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, phrase, count(*) AS f FROM grams GROUP BY lang, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS ws, len(string_split(phrase, ' ')) AS k
+      FROM f WHERE len(string_split(phrase, ' ')) >= 2),
+cuts AS (SELECT c.lang, c.phrase, c.a, j, array_to_string(c.ws[1:j], ' ') AS lp,
+                array_to_string(c.ws[j + 1:c.k], ' ') AS rp
+         FROM c, range(1, 5) AS jj(j) WHERE j < c.k),
+scored AS (SELECT cuts.lang, cuts.phrase, cuts.a, cuts.j, fl.f AS l, fr.f AS r, tot.n,
+                  (cuts.a::HUGEINT * tot.n * 1000) // (fl.f::HUGEINT * fr.f) AS score
+           FROM cuts JOIN f fl ON fl.lang = cuts.lang AND fl.phrase = cuts.lp
+                     JOIN f fr ON fr.lang = cuts.lang AND fr.phrase = cuts.rp
+                     JOIN tot ON tot.lang = cuts.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+subs AS (SELECT c.lang, array_to_string(c.ws[s:s + m - 1], ' ') AS sub, c.a AS fl
+         FROM c, range(1, 5) AS ss(s), range(2, 5) AS mm(m) WHERE m < c.k AND s + m - 1 <= c.k),
+cover AS (SELECT lang, sub, max(fl) AS fl FROM subs GROUP BY lang, sub),
+kept AS (SELECT b.* FROM best b LEFT JOIN cover v ON v.lang = b.lang AND v.sub = b.phrase
+         WHERE v.fl IS NULL OR v.fl < b.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+         phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+  FROM kept)
+WHERE rank <= 2000
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyloom.llm import (
     ann,
+    collocations,
     embedding_dedup,
     language_id,
     licenses,
@@ -29,6 +30,7 @@ ORACLE: dict[str, str] = {
     "op7_license_scan": oracle.LICENSES,
     "op8_mixing": oracle.MIXING,
     "op9_embedding_dedup": oracle.EMBEDDING_DEDUP,
+    "op12_collocations": oracle.COLLOCATIONS,
 }
 
 
@@ -104,3 +106,8 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
