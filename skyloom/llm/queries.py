@@ -17,6 +17,7 @@ from skyloom.llm import (
     oracle,
     periodic_runs,
     quality,
+    repeats,
     sentencepiece_stream,
     simhash,
     token_counts,
@@ -111,3 +112,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicated(table(spark, sf_dir, "documents"))
