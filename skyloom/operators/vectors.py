@@ -28,7 +28,6 @@ cloudpickle.register_pickle_by_value(skyloom)
 
 METRICS = ("euclidean", "cosine")
 SCORE_DIGITS = 6
-MAX_QUERIES = 4096
 
 
 def knn_preflight(df: DataFrame, vec: str) -> tuple[int, int]:
@@ -151,6 +150,41 @@ def _task_candidates(
     return stored.mapInArrow(scan, out)
 
 
+CHUNK_BYTES = 32 << 20
+QUERY_STEP = 256
+
+
+def _chunks(rows: int, dim: int, chunk_bytes: int) -> int:
+    """Number of hash chunks so that one holds about ``chunk_bytes`` of float64 vectors."""
+    return max(1, math.ceil(rows * dim * 8 / chunk_bytes))
+
+
+def _pair_top_k(k: int, metric: str, schema: pa.Schema) -> Callable:
+    """k nearest per query of one chunk pair; queries are taken ``QUERY_STEP`` at a time to bound the matrix."""
+
+    def pair(left, right):
+        import pandas as pd
+
+        if len(left) == 0 or len(right) == 0:
+            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema})
+        ids = pa.array(left["id"].to_numpy(), type=schema.field(1).type)
+        rows = pa.array(list(left["vec"]), type=pa.list_(pa.float64()))
+        batch = pa.RecordBatch.from_arrays([ids, rows], ["id", "vec"])
+        queries = np.stack([np.asarray(v, dtype=np.float64) for v in right["query_vec"]])
+        if queries.shape[1] != len(left["vec"].iloc[0]):
+            raise ValueError("query vectors and vectors differ in length")
+        query_ids = right["query_id"].tolist()
+        out = []
+        for at in range(0, len(query_ids), QUERY_STEP):
+            scan = _nearest_in_task(query_ids[at : at + QUERY_STEP], queries[at : at + QUERY_STEP], k, metric, schema)
+            out += [b.to_pandas() for b in scan(iter([batch]))]
+        if not out:
+            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema})
+        return pd.concat(out, ignore_index=True)
+
+    return pair
+
+
 def knn_batch(
     df: DataFrame,
     id_col: str,
@@ -158,38 +192,49 @@ def knn_batch(
     queries: DataFrame,
     k: int = 5,
     metric: str = "euclidean",
-    max_queries: int = MAX_QUERIES,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest vectors of every ``(query_id, query_vec)``: ``(query_id, rank, id, score)``.
 
-    Each task scans its vectors against a block of at most about ``max_queries`` queries and emits its k
-    best per query. More queries take more blocks, each one scan. Score is ``1/(1+d²)`` or
-    ``(1+cos)/2``; ties go to the smaller id.
+    Vectors and queries are dealt into chunks of about ``chunk_bytes`` by a hash of the row; every pair of a vector
+    chunk and a query chunk meets under one integer key (each side sent once per chunk of the other side), where a
+    grouped Arrow function keeps the k best per query, and the k best of all pairs are merged per query. Vectors are
+    read once whatever the number of queries and nothing passes through the driver but two row counts. A task holds
+    one chunk pair and a distance block of ``QUERY_STEP`` queries. Score is ``1/(1+d²)`` or ``(1+cos)/2``; ties go to
+    the smaller id. Null vectors and null query vectors take no part.
     """
     check_k(k)
     _check_metric(metric)
-    queries = queries.where(F.col("query_vec").isNotNull()).select("query_id", "query_vec")
-    block = queries.limit(max_queries + 1).collect()
-    if len(block) <= max_queries:
-        blocks = [block]
-    else:
-        n = math.ceil(queries.count() / max_queries)
-        number = F.pmod(F.xxhash64("query_id"), F.lit(n))
-        blocks = (queries.where(number == i).collect() for i in range(n))
-    found = None
-    for block in blocks:
-        if not block:
-            continue
-        part = _task_candidates(
-            df, id_col, vec, queries.schema["query_id"].dataType,
-            [r.query_id for r in block], [r.query_vec for r in block], k, metric,
-        )
-        found = part if found is None else found.unionAll(part)
-    if found is None:
-        kind = df.schema[id_col].dataType
-        found = queries.select(
-            "query_id", F.lit(None).cast(kind).alias("id"), F.lit(0.0).alias("distance")
+    vectors = df.where(F.col(vec).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec")
+    )
+    asked = queries.where(F.col("query_vec").isNotNull()).select(
+        "query_id", F.col("query_vec").cast("array<double>").alias("query_vec")
+    )
+    sizes = vectors.agg(F.count(F.lit(1)), F.max(F.size("vec"))).head()
+    n_asked = asked.count()
+    if not sizes[0] or not n_asked:
+        return asked.select(
+            "query_id", F.lit(1).alias("rank"), F.lit(None).cast(df.schema[id_col].dataType).alias("id"),
+            F.lit(0.0).alias("score"),
         ).where(F.lit(False))
+    n_v, n_q = _chunks(sizes[0], sizes[1], chunk_bytes), _chunks(n_asked, sizes[1], chunk_bytes)
+    v_chunk = F.pmod(F.xxhash64("id", "vec"), F.lit(n_v))
+    q_chunk = F.pmod(F.xxhash64("query_id", "query_vec"), F.lit(n_q))
+    left = vectors.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)))).select(
+        "id", "vec", (v_chunk * n_q + F.col("other")).alias("pair")
+    )
+    right = asked.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_v - 1)))).select(
+        "query_id", "query_vec", (F.col("other") * n_q + q_chunk).alias("pair")
+    )
+    out = T.StructType([
+        T.StructField("query_id", queries.schema["query_id"].dataType),
+        T.StructField("id", df.schema[id_col].dataType),
+        T.StructField("distance", T.DoubleType()),
+    ])
+    found = left.groupBy("pair").cogroup(right.groupBy("pair")).applyInPandas(
+        _pair_top_k(k, metric, to_arrow_schema(out)), out
+    )
     top = top_k_per_group(found, ["query_id"], [F.asc("distance"), F.asc("id")], k)
     return top.select("query_id", "rank", "id", _score(F.col("distance"), metric).alias("score"))
 

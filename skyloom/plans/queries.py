@@ -588,10 +588,10 @@ def knn_batch(spark, sf):
 
 @register
 def knn_batch_blocks(spark, sf):
-    """Every vector as a query, in several blocks."""
+    """Every vector as a query, in chunks of 1 MB: many chunk pairs."""
     df = inputs.table(spark, sf, "embeddings")
     queries = df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
-    return vectors.knn_batch(df, "vec_id", "embedding", queries, 3, max_queries=400)
+    return vectors.knn_batch(df, "vec_id", "embedding", queries, 3, chunk_bytes=1 << 20)
 
 
 def _ann(spark, sf):

@@ -42,17 +42,36 @@ def test_exact(df, data, metric, k):
     assert [r.score for r in got] == pytest.approx([s for _, s in expected], abs=1.1e-6)
 
 
-@pytest.mark.parametrize("max_queries", [4096, 3])
+@pytest.mark.parametrize("chunk_bytes", [vectors.CHUNK_BYTES, 300])
 @pytest.mark.parametrize("k", [4, 1200])
-def test_batch_is_the_single_searches(spark, df, data, max_queries, k):
+def test_batch_is_the_single_searches(spark, df, data, chunk_bytes, k):
     asked = [0, 7, 55, 60, 120, 299, 13]
     queries = spark.createDataFrame([(f"q{i}", data[i].tolist()) for i in asked], "query_id string, query_vec array<float>")
-    got = vectors.knn_batch(df, "id", "vec", queries, k, max_queries=max_queries).collect()
+    got = vectors.knn_batch(df, "id", "vec", queries, k, chunk_bytes=chunk_bytes).collect()
     for i in asked:
         mine = [(r.id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == f"q{i}"]
         assert mine == [tuple(r) for r in vectors.knn_exact(df, "id", "vec", data[i].tolist(), k).collect()]
 
 
+def test_batch_meets_chunk_pairs_without_the_driver(spark, df, data):
+    from pyspark.sql import functions as F
+
+    queries = df.where("vec IS NOT NULL").select(F.col("id").alias("query_id"), F.col("vec").alias("query_vec"))
+    found = vectors.knn_batch(df, "id", "vec", queries, 3, chunk_bytes=4096)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan or "FlatMapCoGroupsInPandas" in plan
+    # each chunk holds about chunk_bytes: 300 vectors of 16 doubles in 10 chunks
+    n = vectors._chunks(300, 16, 4096)
+    sizes = df.where("vec IS NOT NULL").groupBy(
+        F.pmod(F.xxhash64("id", F.col("vec").cast("array<double>")), F.lit(n))
+    ).count().collect()
+    assert n == 10 and max(r["count"] for r in sizes) <= 3 * 300 / n
+    got = {(r.query_id, r.rank): r.id for r in found.collect()}
+    for i in (0, 7, 60, 299):
+        want = [r.id for r in vectors.knn_exact(df, "id", "vec", data[i].tolist(), 3).collect()]
+        assert [got[(i, rank)] for rank in (1, 2, 3)] == want
+
+
 def test_no_queries(spark, df):
     none = spark.createDataFrame([], "query_id int, query_vec array<float>")
     assert vectors.knn_batch(df, "id", "vec", none).collect() == []
