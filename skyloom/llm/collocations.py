@@ -5,8 +5,10 @@ phrases of 1 to 5 words are counted level by level (a phrase is counted only whe
 frequent), and a phrase is locally frequent when ``count * n >= support * n_shard`` for its language: the support
 lowered in proportion to the shard's words. A phrase frequent in the whole table is locally frequent in at least one
 shard, so the union of locally frequent phrases holds every frequent phrase, and it is closed under prefixes.
-Pass 2 counts all candidates exactly: when their number is within ``broadcast_phrases`` they go to every task and are
-matched level by level; beyond it every shard's phrase counts are joined with the candidates by Spark. Scores, cuts,
+Each shard also reports its slack, one less than its lowered support: a candidate that a shard did not report occurs
+there at most that often, so a candidate whose reported counts plus the slack of the other shards stay under the
+support is not frequent and is left out (the rest stays closed under prefixes). Pass 2 counts the remaining candidates
+exactly: when their number is within ``broadcast_phrases`` they go to every task and are matched level by level; beyond it every shard's phrase counts are joined with the candidates by Spark. Scores, cuts,
 the drop of phrases inside longer ones and the ranking are DataFrame operations, the scores exact in decimal(38, 0).
 
 With an absolute support of 100 on a very large table, the lowered support falls to one and candidates approach all
@@ -40,8 +42,10 @@ _TOKEN = re.compile(r"[^\x20\x09.,;:!?\x0a-\x0d]+|[.,;:!?\x0a-\x0d]")
 _WORD_JAVA = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 _SEPARATORS = list(PIECE_SEPARATORS)
 _COUNTED = T.StructType(
-    [T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()), T.StructField("f", T.LongType())]
+    [T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()), T.StructField("f", T.LongType()),
+     T.StructField("slack", T.LongType())]
 )
+_BATCH_ROWS = 200_000
 
 
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -152,38 +156,63 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_chars: int) -> Iterator[dic
         yield shard
 
 
-def _out(rows: list[tuple[str, str, int]]) -> pa.RecordBatch:
-    lang, phrase, f = zip(*rows) if rows else ((), (), ())
+def _out(rows: list[tuple[str, str | None, int, int]]) -> pa.RecordBatch:
+    lang, phrase, f, slack = zip(*rows) if rows else ((), (), (), ())
     return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(f, pa.int64())], ["lang", "phrase", "f"]
+        [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(f, pa.int64()),
+         pa.array(slack, pa.int64())],
+        ["lang", "phrase", "f", "slack"],
     )
 
 
+def _batched(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows in Arrow batches of at most ``_BATCH_ROWS``, so a shard's output never stands whole in memory."""
+    chunk = []
+    for row in rows:
+        chunk.append(row)
+        if len(chunk) >= _BATCH_ROWS:
+            yield _out(chunk)
+            chunk = []
+    if chunk:
+        yield _out(chunk)
+
+
 def _local(batches, totals: dict[str, int], support: int, shard_chars: int):
-    """Pass 1: locally frequent phrases of each shard (support lowered in proportion), or all with ``support=0``."""
-    for shard in _shards(batches, shard_chars):
-        rows = []
-        for lang, texts in shard.items():
-            words, piece = words_of(texts)
-            if len(words) == 0:
-                continue
-            least = max(1, -(-support * len(words) // totals[lang])) if support else 1
-            rows += [(lang, p, c) for p, c in mine(words, piece, least)]
-        yield _out(rows)
+    """Pass 1: locally frequent phrases of each shard, or all with ``support=0``.
+
+    A row without phrase gives the shard's slack for its language: one less than its lowered support, the most
+    that a phrase missing from the shard's rows can occur in it.
+    """
+
+    def rows():
+        for shard in _shards(batches, shard_chars):
+            for lang, texts in shard.items():
+                words, piece = words_of(texts)
+                if len(words) == 0:
+                    continue
+                least = max(1, -(-support * len(words) // totals[lang])) if support else 1
+                yield lang, None, 0, least - 1
+                for p, c in mine(words, piece, least):
+                    yield lang, p, c, least - 1
+
+    yield from _batched(rows())
 
 
 def _matched(batches, known, shard_chars: int):
     """Pass 2: counts of the candidates in each shard."""
     matchers: dict[str, Matcher] = {}
-    for shard in _shards(batches, shard_chars):
-        rows = []
-        for lang, texts in shard.items():
-            if lang not in known.value:
-                continue
-            if lang not in matchers:
-                matchers[lang] = Matcher(known.value[lang])
-            rows += [(lang, p, c) for p, c in matchers[lang].counts(*words_of(texts))]
-        yield _out(rows)
+
+    def rows():
+        for shard in _shards(batches, shard_chars):
+            for lang, texts in shard.items():
+                if lang not in known.value:
+                    continue
+                if lang not in matchers:
+                    matchers[lang] = Matcher(known.value[lang])
+                for p, c in matchers[lang].counts(*words_of(texts)):
+                    yield lang, p, c, 0
+
+    yield from _batched(rows())
 
 
 def phrase_counts(
@@ -203,8 +232,18 @@ def phrase_counts(
     )
     # one row per language
     n_of = {r["lang"]: r["n"] for r in totals.where("n > 0").collect()}
-    local = map_arrow(texts, partial(_local, totals=n_of, support=support, shard_chars=shard_chars), _COUNTED)
-    candidates = stored(local.select("lang", "phrase").distinct(), "collocation-candidates")
+    local = stored(
+        map_arrow(texts, partial(_local, totals=n_of, support=support, shard_chars=shard_chars), _COUNTED),
+        "collocation-local",
+    )
+    # A candidate missing from a shard's rows occurs there at most that shard's slack times; one whose counts found
+    # plus the slack of the shards that miss it stay under the support cannot be frequent, and is left out.
+    slack = local.where(F.col("phrase").isNull()).groupBy("lang").agg(F.sum("slack").alias("all_slack"))
+    found = local.where(F.col("phrase").isNotNull()).groupBy("lang", "phrase").agg(
+        F.sum("f").alias("found"), F.sum("slack").alias("found_slack")
+    )
+    bound = F.col("found") + F.col("all_slack") - F.col("found_slack")
+    candidates = stored(found.join(slack, "lang").where(bound >= support).select("lang", "phrase"), "collocation-candidates")
     many = candidates.count()
     if many <= broadcast_phrases:
         known: dict[str, list[str]] = {}
@@ -214,7 +253,7 @@ def phrase_counts(
         counted = map_arrow(texts, partial(_matched, known=shipped, shard_chars=shard_chars), _COUNTED)
     else:
         every = map_arrow(texts, partial(_local, totals=n_of, support=0, shard_chars=shard_chars), _COUNTED)
-        counted = every.join(candidates, ["lang", "phrase"])
+        counted = every.where(F.col("phrase").isNotNull()).join(candidates, ["lang", "phrase"])
     frequent = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
     return stored(frequent, "collocation-frequent"), totals
 
