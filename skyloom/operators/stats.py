@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from skyloom.functions.geo import location_key
 from skyloom.functions.scalar import tail_axis, tail_position
 from skyloom.operators.ranking import check_k
+from skyloom.operators.joins import materialize as stored
 from skyloom.operators.spatial import distinct_locations
 
 # Percentiles of the curve, fixed values.
@@ -30,49 +31,90 @@ def _value_bucket(v: Column) -> Column:
     )
 
 
-def exact_percentiles(df: DataFrame, group: str, value: str, percentiles: list[float]) -> DataFrame:
+SPLIT_BUCKETS = 1024
+FINAL_ROWS = 4096
+
+
+def _same_group(left: DataFrame, right: DataFrame) -> Column:
+    return left["_g"].eqNullSafe(right["_tg"])
+
+
+def exact_percentiles(
+    df: DataFrame,
+    group: str,
+    value: str,
+    percentiles: list[float],
+    split_buckets: int = SPLIT_BUCKETS,
+    final_rows: int = FINAL_ROWS,
+) -> DataFrame:
     """Interpolated percentiles per group: ``(group, percentile, value)``.
 
-    No group is sorted in one task. Equal values are counted first; a coarse count per value bucket tells
-    which bucket holds each wanted position, and only those buckets are sorted.
+    Distributed selection by repeated counting. Equal values are counted first. Every wanted rank keeps an interval
+    of values and the count below it; a round counts the values of the interval in buckets (monotone log buckets
+    first, then ``split_buckets`` equal parts), and only the bucket that holds the rank becomes the next interval.
+    When an interval holds at most ``final_rows`` distinct values they are ordered in a window: no window sees more
+    rows than that or than the buckets of one round. The driver only asks, once a round, whether intervals are left.
     """
-    counted = (
+    counted = stored(
         df.where(F.col(value).isNotNull())
-        .groupBy(group, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_b", _value_bucket(F.col("_v")))
-    )
-    buckets = counted.groupBy(group, "_b").agg(F.sum("_c").alias("_c"))
-    in_order = Window.partitionBy(group).orderBy("_b")
-    placed = buckets.withColumn("_end", F.sum("_c").over(in_order)).withColumn(
-        "_n", F.sum("_c").over(Window.partitionBy(group))
+        .groupBy(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c")),
+        "percentile-values",
     )
+    totals = counted.groupBy("_g").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     position = F.col("_p") / 100.0 * (F.col("_n") - 1)
-    asked = F.explode(F.array(*[F.lit(float(p)) for p in percentiles]))
-    wanted = (
-        placed.withColumn("_p", asked)
-        .withColumn("_low", F.floor(position))
-        .withColumn("_frac", position - F.col("_low"))
-        .withColumn("_high", F.ceil(position))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-        .withColumn("_r", F.explode(F.array_distinct(F.array("_low", "_high"))))
-        .where((F.col("_start") <= F.col("_r")) & (F.col("_r") < F.col("_end")))
-        .select(group, "_b", "_p", "_frac", (F.col("_r") - F.col("_start")).alias("_k"))
+    asked = totals.withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in percentiles]))).select(
+        "_g", "_p", "_lo", "_hi", position.alias("_pos")
+    )
+    wanted = asked.select(
+        "_g", "_p", (F.col("_pos") - F.floor("_pos")).alias("_frac"),
+        F.explode(F.array_distinct(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))).alias("_r"),
+        "_lo", "_hi",
     )
-    def same(left: DataFrame, right: DataFrame) -> Column:
-        """Equal group, null included, and equal bucket."""
-        return left[group].eqNullSafe(right["_g"]) & (left["_b"] == right["_wb"])
-
-    wanted = wanted.withColumnsRenamed({group: "_g", "_b": "_wb"})
-    asked_for = wanted.select("_g", "_wb").distinct()
-    needed = counted.join(asked_for, same(counted, asked_for), "left_semi")
-    sorted_bucket = Window.partitionBy(group, "_b").orderBy("_v")
-    ranked = needed.withColumn("_to", F.sum("_c").over(sorted_bucket))
-    hits = ranked.join(wanted, same(ranked, wanted)).where(
-        (F.col("_to") - F.col("_c") <= F.col("_k")) & (F.col("_k") < F.col("_to"))
+    state = stored(
+        wanted.select(F.col("_g").alias("_tg"), "_r", "_lo", "_hi", F.lit(0).cast("long").alias("_below")).distinct(),
+        "percentile-state",
     )
+    done = None
+    first = True
+    while True:
+        inside = counted.join(state, _same_group(counted, state)).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        sizes = inside.groupBy("_tg", "_r").agg(F.count(F.lit(1)).alias("_distinct"))
+        small = sizes.where(F.col("_distinct") <= final_rows).select(F.col("_tg").alias("_sg"), F.col("_r").alias("_sr"))
+        key = inside["_tg"].eqNullSafe(small["_sg"]) & (inside["_r"] == small["_sr"])
+        # intervals small enough: ordered in a window of at most final_rows rows
+        few = inside.join(small, key, "left_semi")
+        in_order = Window.partitionBy("_tg", "_r").orderBy("_v")
+        found = few.withColumn("_to", F.sum("_c").over(in_order)).where(
+            (F.col("_to") - F.col("_c") <= F.col("_r") - F.col("_below")) & (F.col("_r") - F.col("_below") < F.col("_to"))
+        ).select("_tg", "_r", "_v")
+        found = stored(found, "percentile-found")
+        done = found if done is None else done.unionByName(found)
+        rest = inside.join(small, key, "left_anti")
+        if rest.isEmpty():
+            break
+        width = F.col("_hi") - F.col("_lo")
+        part = F.floor((F.col("_v") - F.col("_lo")) / width * split_buckets)
+        bucket = (
+            _value_bucket(F.col("_v")) if first
+            else F.when(width > 0, F.least(part, F.lit(split_buckets - 1))).otherwise(F.lit(0)).cast("bigint")
+        )
+        counts = rest.groupBy("_tg", "_r", "_below", bucket.alias("_b")).agg(
+            F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        )
+        by_bucket = Window.partitionBy("_tg", "_r").orderBy("_b")
+        ends = counts.withColumn("_to", F.sum("_c").over(by_bucket))
+        state = stored(
+            ends.where(
+                (F.col("_to") - F.col("_c") <= F.col("_r") - F.col("_below"))
+                & (F.col("_r") - F.col("_below") < F.col("_to"))
+            ).select("_tg", "_r", "_lo", "_hi", (F.col("_below") + F.col("_to") - F.col("_c")).alias("_below")),
+            "percentile-state",
+        )
+        first = False
+    hits = wanted.join(done, wanted["_g"].eqNullSafe(done["_tg"]) & (wanted["_r"] == done["_r"]))
     low, high = F.min("_v"), F.max("_v")
-    return hits.groupBy(group, F.col("_p").alias("percentile")).agg(
+    return hits.groupBy(F.col("_g").alias(group), F.col("_p").alias("percentile")).agg(
         (low + (high - low) * F.max("_frac")).alias("value")
     )
 

@@ -101,3 +101,18 @@ def test_percentiles_of_a_null_group(spark):
     summary = {r.g: (r.n, r.p50, r.max) for r in stats.percentile_summary(df, "g", "v").collect()}
     assert summary == {None: (2, 3.0, 5), "a": (1, 2.0, 2)}
     assert {r.g for r in stats.percentile_curve(df, "g", "v").collect()} == {None, "a"}
+
+
+def test_a_million_close_values_by_repeated_counting(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    n = 1_000_000
+    values = 1000.0 + ((np.arange(n) * 7919) % 1_000_003) * 3e-7  # all within 0.03 %
+    df = spark.range(n).select(
+        F.lit("g").alias("g"), (F.lit(1000.0) + F.pmod(F.col("id") * 7919, F.lit(1_000_003)) * F.lit(3e-7)).alias("v")
+    )
+    ps = [0.0, 50.0, 99.0, 99.9, 100.0]
+    got = {r.percentile: r.value for r in stats.exact_percentiles(df, "g", "v", ps, final_rows=500).collect()}
+    for p in ps:
+        assert got[p] == pytest.approx(float(np.percentile(values, p)), rel=1e-12, abs=1e-9)
