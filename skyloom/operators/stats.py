@@ -194,22 +194,41 @@ def sample_probes(readings: DataFrame, n: int, seed: int = 0, time_col: str = "m
     """``n`` pairs of an existing location and an existing time: ``(probe_id, lon, lat, probe_time)``.
 
     Both sets are put in the order of a seeded hash and paired by position, starting over when one is
-    shorter than ``n``.
+    shorter than ``n``. The order is numbered by range partitions of the hash and the offsets of the partitions, so
+    no task and no window holds all rows; only one count per partition goes to the driver.
     """
     check_k(n)
 
     def first(distinct: DataFrame, key: Column) -> DataFrame:
+        """The first ``n`` rows by hash, numbered from 0 by range partitions and partition offsets."""
         hashed = distinct.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), key)))
-        order = Window.orderBy("_h")
-        return hashed.orderBy("_h").limit(n).withColumn("_i", F.row_number().over(order) - 1).drop("_h")
+        parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        in_range = hashed.repartitionByRange(parts, "_h").sortWithinPartitions("_h")
+        local = F.monotonically_increasing_id() - F.spark_partition_id().cast("long") * F.lit(1 << 33)
+        numbered = stored(
+            in_range.select("*", F.spark_partition_id().alias("_pid"), local.alias("_in")), "probe-order"
+        )
+        # one count per range partition
+        sizes = sorted((r["_pid"], r["count"]) for r in numbered.groupBy("_pid").count().collect())
+        offsets, total = {}, 0
+        for pid, count in sizes:
+            offsets[pid] = total
+            total += count
+        if not offsets:
+            return numbered.select(*distinct.columns, F.lit(0).cast("long").alias("_i")).where(F.lit(False)), 0
+        start = F.create_map(*[F.lit(x) for pid, off in offsets.items() for x in (pid, off)])
+        ordered = numbered.withColumn("_i", F.element_at(start, F.col("_pid")) + F.col("_in"))
+        return ordered.where(F.col("_i") < n).drop("_h", "_pid", "_in"), min(n, total)
 
     where = F.concat_ws(":", location_key("lon").cast("string"), location_key("lat").cast("string"))
-    points = first(distinct_locations(readings), where)
+    points, n_points = first(distinct_locations(readings), where)
     when = F.date_format(time_col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    times = first(readings.where(F.col(time_col).isNotNull()).select(time_col).distinct(), when)
+    times, n_times = first(readings.where(F.col(time_col).isNotNull()).select(time_col).distinct(), when)
     draws = readings.sparkSession.range(n).select(F.col("id").alias("probe_id"))
-    draws = draws.withColumn("_pi", F.try_mod("probe_id", points.agg(F.count(F.lit(1))).scalar()))
-    draws = draws.withColumn("_ti", F.try_mod("probe_id", times.agg(F.count(F.lit(1))).scalar()))
+    if not n_points or not n_times:
+        draws = draws.where(F.lit(False))
+    draws = draws.withColumn("_pi", F.col("probe_id") % max(n_points, 1))
+    draws = draws.withColumn("_ti", F.col("probe_id") % max(n_times, 1))
     paired = draws.join(points.withColumnRenamed("_i", "_pi"), "_pi")
     paired = paired.join(times.withColumnRenamed("_i", "_ti"), "_ti")
     return paired.select("probe_id", "lon", "lat", F.col(time_col).alias("probe_time"))

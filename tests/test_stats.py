@@ -116,3 +116,18 @@ def test_a_million_close_values_by_repeated_counting(spark):
     got = {r.percentile: r.value for r in stats.exact_percentiles(df, "g", "v", ps, final_rows=500).collect()}
     for p in ps:
         assert got[p] == pytest.approx(float(np.percentile(values, p)), rel=1e-12, abs=1e-9)
+
+
+def test_probe_numbering_has_no_single_partition(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(3000).select(
+        F.timestamp_seconds(F.col("id") % 1500).cast("timestamp_ntz").alias("measurement_time"),
+        (F.col("id") % 1000 / 7.0).alias("lon"), F.lit(1.0).alias("lat"),
+    )
+    found = stats.sample_probes(df, 100_000, seed=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    rows = found.collect()
+    assert sorted(r.probe_id for r in rows) == list(range(100_000))
+    assert len({r.lon for r in rows}) == 1000 and len({r.probe_time for r in rows}) == 1500
