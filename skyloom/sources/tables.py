@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from skyloom.functions.geo import make_point, parse_point_text, parse_wkt_point
@@ -107,16 +109,32 @@ def enforce_key(
 ) -> tuple[DataFrame, DataFrame]:
     """``(kept, rejected)``: one row per key, the first by ``order_by``, then by all other columns.
 
-    Rows with a null in the key are rejected. The winner is an aggregate, so a key with very many rows
-    shrinks before the shuffle; the rejected rows are the multiset difference.
+    Rows with a null in the key are rejected. The source is read once into the shared folder. The winner is an
+    aggregate, so a key with very many rows shrinks before the shuffle. Every row is then set against its key's
+    winner by a join that adaptive execution splits for a hot key: rows unlike the winner are rejected, and of the
+    rows equal to it (counted per key, again an aggregate) all but one copy, so no exceptAll and no window over a key.
     """
+    from skyloom.operators.joins import materialize
+
+    source = materialize(df, "keyed-source")
     first = [c for c in (order_by or []) if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in first]
-    complete = df.dropna(subset=keys)
-    if first or rest:
-        winner = complete.groupBy(*keys).agg(F.min(F.struct(*first, *rest)).alias("_row"))
-        kept = winner.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in (*first, *rest)])
-    else:
-        kept = complete.distinct()
-    kept = kept.select(*df.columns)
-    return kept, df.exceptAll(kept)
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    complete, missing = source.where(~null_key), source.where(null_key)
+    if not (first or rest):
+        counted = complete.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        kept = counted.select(*keys)
+        copies = counted.select(*keys, F.explode(F.array_repeat(F.lit(1), (F.col("_n") - 1).cast("int"))).alias("_copy"))
+        rejected = copies.select(*df.columns).unionByName(missing.select(*df.columns))
+        return kept.select(*df.columns), rejected
+    row = F.struct(*first, *rest)
+    winner = complete.groupBy(*keys).agg(F.min(row).alias("_row"))
+    kept = winner.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in (*first, *rest)]).select(*df.columns)
+    against = complete.join(winner, keys).withColumn("_same", row.eqNullSafe(F.col("_row")))
+    unlike = against.where(~F.col("_same")).select(*df.columns)
+    same = against.where("_same").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first("_row").alias("_row"))
+    repeats = same.select(*keys, "_row", F.explode(F.array_repeat(F.lit(1), (F.col("_n") - 1).cast("int"))).alias("_copy")).select(
+        *keys, *[F.col(f"_row.{c}").alias(c) for c in (*first, *rest)]
+    )
+    rejected = unlike.unionByName(repeats.select(*df.columns)).unionByName(missing.select(*df.columns))
+    return kept, rejected

@@ -100,3 +100,20 @@ def test_stored_tables_have_a_size(spark):
     small = materialize(spark.range(10).withColumnRenamed("id", "k"))
     joined = spark.range(10).withColumnRenamed("id", "k").join(small, "k")
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_enforce_key_spreads_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        (F.col("id") % 7).alias("o"), (F.col("id") % 3).alias("v"),
+    )
+    kept, rejected = tables.enforce_key(df, ["k"], ["o"])
+    assert kept.count() == 10_001 and rejected.count() == 9_999
+    assert kept.where("k = 0").collect()[0]["o"] == 0
+    plan = rejected._jdf.queryExecution().executedPlan().toString()
+    assert "Except" not in plan and "Window" not in plan
+    dup = spark.createDataFrame([(1, 2)] * 5 + [(1, 3)], "k int, o int")
+    kept, rejected = tables.enforce_key(dup, ["k"], ["o"])
+    assert sorted(map(tuple, rejected.collect())) == [(1, 2)] * 4 + [(1, 3)]
