@@ -2,13 +2,11 @@
 
 A 200-byte window holds 169 k-mers of 32 bytes; its anchor is the k-mer of least hash (leftmost on ties), which
 depends on the window's bytes alone. Two equal windows therefore have the same anchor k-mer at the same offset, and
-all windows of one anchor position form a contiguous range whose bytes (the context) are emitted once. Contexts are
-counted as they are (copies of one passage become one row with a count), only anchors whose k-mer occurs at least
-twice are kept, and the contexts of one k-mer are compared window by window in one group: a window occurs more than
-once when its total count over the group is two or more. The removed spans go back to their documents by join.
-
-Anchors are about 2 in 170 bytes and contexts about 280 bytes, so the shuffled contexts are bounded by a small
-multiple of the text that shares a k-mer with other text; contexts that repeat exactly are counted before the shuffle.
+all windows of one anchor position form a contiguous range, its context. Anchors carry a digest of their context, not
+its bytes. Contexts are counted per k-mer: a k-mer met once decides nothing; a k-mer whose occurrences all share one
+context has all those windows repeated, without reading bytes; only k-mers with several different contexts fetch the
+bytes of one row per context and compare the windows of the group by two 64-bit polynomial hashes (a false match needs
+both to collide). The removed spans go back to their rows by join.
 """
 
 from __future__ import annotations
@@ -74,57 +72,87 @@ def anchors(data: bytes) -> list[tuple[int, int, int, int]]:
     return list(zip(h[at].view(np.int64).tolist(), (at - starts).tolist(), starts.tolist(), ends.tolist()))
 
 
+def _digest(ctx: bytes, off: int) -> int:
+    return int.from_bytes(hashlib.blake2b(ctx + off.to_bytes(4, "little"), digest_size=8).digest(), "little", signed=True)
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per anchor position: the row's key, k-mer, anchor offset, first window, windows, context digest."""
+    names = ("key_a", "key_b", "kmer", "off", "s_lo", "n_win", "digest")
     for batch in batches:
-        cols = {name: [] for name in ("key_a", "key_b", "kmer", "off", "s_lo", "ctx")}
+        cols = {name: [] for name in names}
         ka, kb = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for a, b, text in zip(ka, kb, batch.column(2).to_pylist()):
             data = (text or "").encode()
             for kmer, off, s_lo, s_hi in anchors(data):
-                cols["key_a"].append(a)
-                cols["key_b"].append(b)
-                cols["kmer"].append(kmer)
-                cols["off"].append(off)
-                cols["s_lo"].append(s_lo)
-                cols["ctx"].append(data[s_lo : s_hi + LENGTH])
+                for name, v in zip(names, (a, b, kmer, off, s_lo, s_hi - s_lo + 1,
+                                           _digest(data[s_lo : s_hi + LENGTH], off))):
+                    cols[name].append(v)
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(cols[n], t) for n, t in zip(names, types)], list(names))
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the asked contexts of each row."""
+    for batch in batches:
+        out = {"kmer": [], "off": [], "digest": [], "c": [], "ctx": []}
+        for text, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            data = (text or "").encode()
+            for a in asked or []:
+                out["kmer"].append(a["kmer"])
+                out["off"].append(a["off"])
+                out["digest"].append(a["digest"])
+                out["c"].append(a["c"])
+                out["ctx"].append(data[a["s_lo"] : a["s_lo"] + a["n_win"] + LENGTH - 1])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cols["key_a"], pa.int64()), pa.array(cols["key_b"], pa.int64()), pa.array(cols["kmer"], pa.int64()),
-             pa.array(cols["off"], pa.int32()), pa.array(cols["s_lo"], pa.int64()), pa.array(cols["ctx"], pa.binary())],
-            list(cols),
+            [pa.array(out["kmer"], pa.int64()), pa.array(out["off"], pa.int32()), pa.array(out["digest"], pa.int64()),
+             pa.array(out["c"], pa.int64()), pa.array(out["ctx"], pa.binary())],
+            list(out),
         )
 
 
-def repeated_spans(contexts: list[bytes], counts: list[int]) -> list[list[tuple[int, int]]]:
-    """Per context, the merged spans [a, b) of its windows whose total count over all contexts is two or more."""
-    total: dict[bytes, int] = {}
-    for ctx, c in zip(contexts, counts):
-        for s in range(len(ctx) - LENGTH + 1):
-            w = ctx[s : s + LENGTH]
-            total[w] = total.get(w, 0) + c
+_BASES = (np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15 | 1))
+
+
+def _window_keys(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit polynomial hashes of every 200-byte window, from prefix sums with inverse powers."""
     out = []
-    for ctx in contexts:
-        spans: list[tuple[int, int]] = []
-        for s in range(len(ctx) - LENGTH + 1):
-            if total[ctx[s : s + LENGTH]] >= 2:
-                if spans and s <= spans[-1][1]:
-                    spans[-1] = (spans[-1][0], s + LENGTH)
-                else:
-                    spans.append((s, s + LENGTH))
-        out.append(spans)
-    return out
+    x = data.astype(np.uint64) + np.uint64(1)
+    m = len(data) - LENGTH + 1
+    with np.errstate(over="ignore"):
+        for base in _BASES:
+            inverse = np.uint64(pow(int(base), -1, 1 << 64))
+            back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data) - 1, inverse, np.uint64)]))
+            g = np.concatenate([[np.uint64(0)], np.cumsum(x * back, dtype=np.uint64)])
+            ahead = np.cumprod(np.concatenate([[np.uint64(1)], np.full(m - 1, base, np.uint64)]))
+            out.append((g[LENGTH : LENGTH + m] - g[:m]) * ahead)
+    return out[0], out[1]
 
 
 def _compare(group: pd.DataFrame) -> pd.DataFrame:
-    """One row per removed span of each context of the group."""
-    spans = repeated_spans(list(group["ctx"]), list(group["c"]))
-    pick = [(i, a, b) for i, found in enumerate(spans) for a, b in found]
-    at = [i for i, _, _ in pick]
+    """One row per removed span of each context of the group, windows compared by two 64-bit hashes."""
+    contexts, counts = list(group["ctx"]), group["c"].to_numpy()
+    keys = [_window_keys(np.frombuffer(c, np.uint8)) for c in contexts]
+    owner = np.concatenate([np.full(len(k[0]), i) for i, k in enumerate(keys)]) if keys else np.array([], int)
+    h1 = np.concatenate([k[0] for k in keys]) if keys else np.array([], np.uint64)
+    h2 = np.concatenate([k[1] for k in keys]) if keys else np.array([], np.uint64)
+    windows = pd.DataFrame({"h1": h1, "h2": h2, "c": counts[owner]})
+    total = windows.groupby(["h1", "h2"], sort=False)["c"].transform("sum").to_numpy()
+    repeated = total >= 2
+    rows, start = [], 0
+    for i, k in enumerate(keys):
+        hit = repeated[start : start + len(k[0])]
+        start += len(k[0])
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
+        for a, b in zip(edges[::2], edges[1::2]):
+            rows.append((i, int(a), int(b) - 1 + LENGTH))
+    at = [i for i, _, _ in rows]
     return pd.DataFrame({
         "kmer": group["kmer"].to_numpy()[at].astype(np.int64),
         "off": group["off"].to_numpy()[at].astype(np.int32),
-        "ctx": pd.Series(group["ctx"].to_numpy()[at], dtype=object),
-        "a": np.array([a for _, a, _ in pick], np.int64),
-        "b": np.array([b for _, _, b in pick], np.int64),
+        "digest": group["digest"].to_numpy()[at].astype(np.int64),
+        "a": np.array([a for _, a, _ in rows], np.int64),
+        "b": np.array([b for _, _, b in rows], np.int64),
     })
 
 
@@ -165,20 +193,37 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col(id_col).alias("id"), text.alias("text"),
         F.xxhash64(F.col(id_col), text).alias("key_a"), F.hash(text, F.col(id_col)).cast("long").alias("key_b"),
     )
-    occurrence_schema = T.StructType([
-        T.StructField("key_a", T.LongType()), T.StructField("key_b", T.LongType()), T.StructField("kmer", T.LongType()),
-        T.StructField("off", T.IntegerType()), T.StructField("s_lo", T.LongType()), T.StructField("ctx", T.BinaryType()),
-    ])
+    longs = ("key_a", "key_b", "kmer", "off", "s_lo", "n_win", "digest")
+    occurrence_schema = T.StructType(
+        [T.StructField(n, T.IntegerType() if n == "off" else T.LongType()) for n in longs]
+    )
     occurrences = stored(map_arrow(rows.select("key_a", "key_b", "text"), _anchor_rows, occurrence_schema), "repeat-anchors")
-    shared = occurrences.groupBy("kmer").count().where("count >= 2").select("kmer")
-    candidates = occurrences.join(shared, "kmer", "left_semi")
-    distinct = candidates.groupBy("kmer", "off", "ctx").agg(F.count(F.lit(1)).alias("c"))
+    contexts = ["kmer", "off", "digest"]
+    per_ctx = occurrences.groupBy(*contexts, "n_win").agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.struct("key_a", "key_b", "s_lo")).alias("rep")
+    )
+    per_kmer = per_ctx.groupBy("kmer").agg(F.count(F.lit(1)).alias("n_ctx"), F.sum("c").alias("total"))
+    classes = stored(per_ctx.join(per_kmer, "kmer").where("total >= 2"), "repeat-contexts")
+    # one context of a k-mer, met twice or more: all its windows repeat, no bytes needed
+    whole = classes.where("n_ctx = 1").select(
+        *contexts, F.lit(0).cast("long").alias("a"), (F.col("n_win") + LENGTH - 1).alias("b")
+    )
+    # several contexts of a k-mer: their bytes, from one row each, compared window by window
+    asked = classes.where("n_ctx >= 2").groupBy(F.col("rep.key_a").alias("key_a"), F.col("rep.key_b").alias("key_b")).agg(
+        F.collect_list(F.struct(*contexts, "c", F.col("rep.s_lo").alias("s_lo"), "n_win")).alias("asked")
+    )
+    fetched_schema = T.StructType([
+        T.StructField("kmer", T.LongType()), T.StructField("off", T.IntegerType()), T.StructField("digest", T.LongType()),
+        T.StructField("c", T.LongType()), T.StructField("ctx", T.BinaryType()),
+    ])
+    fetched = map_arrow(rows.join(asked, ["key_a", "key_b"]).select("text", "asked"), _contexts, fetched_schema)
     span_schema = T.StructType([
-        T.StructField("kmer", T.LongType()), T.StructField("off", T.IntegerType()), T.StructField("ctx", T.BinaryType()),
+        T.StructField("kmer", T.LongType()), T.StructField("off", T.IntegerType()), T.StructField("digest", T.LongType()),
         T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
     ])
-    compared = stored(distinct.groupBy("kmer").applyInPandas(_compare, span_schema), "repeat-spans")
-    placed = candidates.join(compared, ["kmer", "off", "ctx"]).select(
+    compared = fetched.groupBy("kmer").applyInPandas(_compare, span_schema)
+    spans = stored(whole.unionByName(compared), "repeat-spans")
+    placed = occurrences.join(spans, contexts).select(
         "key_a", "key_b", F.struct((F.col("a") + F.col("s_lo")).alias("a"), (F.col("b") + F.col("s_lo")).alias("b")).alias("span")
     )
     per_row = placed.groupBy("key_a", "key_b").agg(F.collect_set("span").alias("spans")).select(
