@@ -306,7 +306,7 @@ def proximity_batch(
 
     Readings meet probes on ``(time, grid cell)``; cell width follows the latitude and wraps at 180
     degrees. Probes without a match keep nulls. ``partition_col`` names a date column the readings are partitioned
-    by: it joins too, so that only the dates of probes are read.
+    by: the distinct days of the probes (one row each) become a filter on its partitions, so only those are read.
     """
     # Cells of a few metres would repeat each probe nine times; ten times the radius seldom repeats it.
     reach = _reach_deg(radius_m)
@@ -325,6 +325,9 @@ def proximity_batch(
     if partition_col is not None:
         cells = cells.withColumn("_date", F.to_date("_time"))
         kept, on = [*kept, F.col(partition_col).alias("_date")], [*on, "_date"]
+        # one row per day of the probes: the partitions to read, as a filter on the scan
+        days = [r[0] for r in probes.select(F.to_date("probe_time")).distinct().collect() if r[0] is not None]
+        readings = readings.where(F.col(partition_col).isin(days))
 
     rows = readings.where(F.col("lon").between(-180, 180) & F.col("lat").between(-90, 90)).select(
         F.col(time_col).alias("_time"), *kept, F.col(value).alias("_low"), F.col(value).alias("_high")

@@ -80,4 +80,5 @@ def test_stored_readings_are_pruned_by_date(spark, sf, tmp_path):
         scans = [line for line in _plan(df).splitlines() if "FileScan" in line and "measurement_time" in line]
         assert scans and all("PartitionFilters: []" not in line for line in scans), name
     batch = _plan(spatial.proximity_batch(stored, probes, 1.0, partition_col=date))
-    assert "dynamicpruning" in batch or "_date" in batch
+    scans = [line for line in batch.splitlines() if "FileScan" in line and "measurement_time" in line]
+    assert scans and all("measurement_date" in line.split("PartitionFilters:")[1].split("]")[0] for line in scans), batch
