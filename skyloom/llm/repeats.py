@@ -129,31 +129,44 @@ def _window_keys(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _compare(group: pd.DataFrame) -> pd.DataFrame:
-    """One row per removed span of each context of the group, windows compared by two 64-bit hashes."""
-    contexts, counts = list(group["ctx"]), group["c"].to_numpy()
-    keys = [_window_keys(np.frombuffer(c, np.uint8)) for c in contexts]
-    owner = np.concatenate([np.full(len(k[0]), i) for i, k in enumerate(keys)]) if keys else np.array([], int)
-    h1 = np.concatenate([k[0] for k in keys]) if keys else np.array([], np.uint64)
-    h2 = np.concatenate([k[1] for k in keys]) if keys else np.array([], np.uint64)
-    windows = pd.DataFrame({"h1": h1, "h2": h2, "c": counts[owner]})
-    total = windows.groupby(["h1", "h2"], sort=False)["c"].transform("sum").to_numpy()
-    repeated = total >= 2
-    rows, start = [], 0
-    for i, k in enumerate(keys):
-        hit = repeated[start : start + len(k[0])]
-        start += len(k[0])
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-        for a, b in zip(edges[::2], edges[1::2]):
-            rows.append((i, int(a), int(b) - 1 + LENGTH))
-    at = [i for i, _, _ in rows]
-    return pd.DataFrame({
-        "kmer": group["kmer"].to_numpy()[at].astype(np.int64),
-        "off": group["off"].to_numpy()[at].astype(np.int32),
-        "digest": group["digest"].to_numpy()[at].astype(np.int64),
-        "a": np.array([a for _, a, _ in rows], np.int64),
-        "b": np.array([b for _, _, b in rows], np.int64),
-    })
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Removed spans of all contexts of a partition (rows dealt by k-mer), in one pass over their bytes.
+
+    Windows are keyed by their k-mer and two 64-bit polynomial hashes and counted over the partition; each context's
+    runs of repeated windows become spans. Windows never cross two contexts.
+    """
+    got = [b for b in batches if b.num_rows]
+    names = ("kmer", "off", "digest", "a", "b")
+    if not got:
+        return
+    table = pa.Table.from_batches(got)
+    contexts = table.column("ctx").to_pylist()
+    kmer = table.column("kmer").to_numpy()
+    counts = table.column("c").to_numpy()
+    lengths = np.array([len(c) for c in contexts], np.int64)
+    n_win = lengths - LENGTH + 1
+    data = np.frombuffer(b"".join(contexts), np.uint8)
+    h1, h2 = _window_keys(data)
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    # the windows that start in a context and end inside it
+    owner = np.repeat(np.arange(len(contexts)), n_win)
+    at = np.arange(n_win.sum()) - np.repeat(np.cumsum(n_win) - n_win, n_win) + np.repeat(starts, n_win)
+    windows = pd.DataFrame({"k": kmer[owner], "h1": h1[at], "h2": h2[at], "c": counts[owner]})
+    repeated = windows.groupby(["k", "h1", "h2"], sort=False)["c"].transform("sum").to_numpy() >= 2
+    # a False after every context's windows, so runs never join two contexts
+    flags = np.zeros(n_win.sum() + len(contexts), bool)
+    place = np.arange(len(repeated)) + owner
+    flags[place] = repeated
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).view(np.int8)))
+    first, last = edges[::2], edges[1::2]
+    ends = np.cumsum(n_win + 1)
+    which = np.searchsorted(ends, first, side="right")
+    base = ends[which] - n_win[which] - 1
+    out = [
+        kmer[which], table.column("off").to_numpy()[which].astype(np.int32), table.column("digest").to_numpy()[which],
+        first - base, last - 1 - base + LENGTH,
+    ]
+    yield pa.RecordBatch.from_arrays([pa.array(np.asarray(c)) for c in out], list(names))
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +234,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         T.StructField("kmer", T.LongType()), T.StructField("off", T.IntegerType()), T.StructField("digest", T.LongType()),
         T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
     ])
-    compared = fetched.groupBy("kmer").applyInPandas(_compare, span_schema)
+    compared = map_arrow(fetched.repartition("kmer"), _compare, span_schema)
     spans = stored(whole.unionByName(compared), "repeat-spans")
     placed = occurrences.join(spans, contexts).select(
         "key_a", "key_b", F.struct((F.col("a") + F.col("s_lo")).alias("a"), (F.col("b") + F.col("s_lo")).alias("b")).alias("span")
