@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from skyloom.llm.work import map_arrow, stored
@@ -129,17 +130,39 @@ def _window_keys(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Removed spans of all contexts of a partition (rows dealt by k-mer), in one pass over their bytes.
+CHUNK_BYTES = 8 << 20
 
-    Windows are keyed by their k-mer and two 64-bit polynomial hashes and counted over the partition; each context's
-    runs of repeated windows become spans. Windows never cross two contexts.
+
+def _compare(batches: Iterator[pa.RecordBatch], chunk_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Removed spans of the contexts of a partition dealt and sorted by k-mer, in chunks of whole k-mers.
+
+    A chunk holds about ``chunk_bytes`` of contexts and is cut only where the k-mer changes, so every k-mer's contexts
+    are compared together; a single k-mer with more bytes than that is one chunk.
     """
-    got = [b for b in batches if b.num_rows]
+    carry: pa.Table | None = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        table = pa.Table.from_batches([batch]) if carry is None else pa.concat_tables([carry, pa.Table.from_batches([batch])])
+        carry = None
+        if pa.compute.sum(pa.compute.binary_length(table.column("ctx"))).as_py() < chunk_bytes:
+            carry = table
+            continue
+        kmer = table.column("kmer").to_numpy()
+        cut = int(np.searchsorted(kmer, kmer[-1], side="left"))
+        if cut == 0:
+            carry = table
+            continue
+        yield from _compare_chunk(table.slice(0, cut))
+        carry = table.slice(cut)
+    if carry is not None and carry.num_rows:
+        yield from _compare_chunk(carry)
+
+
+def _compare_chunk(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Windows keyed by their k-mer and two 64-bit polynomial hashes, counted over the chunk; each context's runs of
+    repeated windows become spans. Windows never cross two contexts."""
     names = ("kmer", "off", "digest", "a", "b")
-    if not got:
-        return
-    table = pa.Table.from_batches(got)
     contexts = table.column("ctx").to_pylist()
     kmer = table.column("kmer").to_numpy()
     counts = table.column("c").to_numpy()
@@ -234,7 +257,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         T.StructField("kmer", T.LongType()), T.StructField("off", T.IntegerType()), T.StructField("digest", T.LongType()),
         T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
     ])
-    compared = map_arrow(fetched.repartition("kmer"), _compare, span_schema)
+    compared = map_arrow(fetched.repartition("kmer").sortWithinPartitions("kmer"), _compare, span_schema)
     spans = stored(whole.unionByName(compared), "repeat-spans")
     placed = occurrences.join(spans, contexts).select(
         "key_a", "key_b", F.struct((F.col("a") + F.col("s_lo")).alias("a"), (F.col("b") + F.col("s_lo")).alias("b")).alias("span")

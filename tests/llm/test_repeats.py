@@ -56,3 +56,24 @@ def test_against_all_windows(spark):
     assert got == want
     assert any(w[1] for ws in want.values() for w in ws)
     assert repeats.deduplicated(empty(spark)).count() == 0
+
+
+def test_chunks_of_whole_kmers_agree_with_one_pass():
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    rows = []
+    for k in range(40):
+        base = bytes(rng.randrange(3) + 97 for _ in range(300))
+        for j in range(rng.randint(1, 4)):
+            ctx = base if rng.random() < 0.5 else bytes(rng.randrange(3) + 97 for _ in range(250))
+            rows.append((k, 0, j, 1, ctx))
+    names = ("kmer", "off", "digest", "c", "ctx")
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    t = pa.table({n: pa.array([r[i] for r in rows], ty) for i, (n, ty) in enumerate(zip(names, types))})
+
+    def spans(chunk):
+        out = pa.Table.from_batches(list(repeats._compare(iter(t.to_batches(max_chunksize=7)), chunk_bytes=chunk)))
+        return sorted(out.to_pylist(), key=lambda r: (r["kmer"], r["digest"], r["a"]))
+
+    assert spans(500) == spans(1 << 30) and len(spans(500)) > 0
