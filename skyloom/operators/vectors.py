@@ -151,6 +151,9 @@ def _task_candidates(
 
 
 CHUNK_BYTES = 32 << 20
+# Bytes of one side of a pair that meets in a task, and the number of blocks that small tables are dealt into.
+BLOCK_BYTES = 32 << 20
+FEW_BLOCKS = 4
 QUERY_STEP = 256
 
 
@@ -159,8 +162,15 @@ def _chunks(rows: int, dim: int, chunk_bytes: int) -> int:
     return max(1, math.ceil(rows * dim * 8 / chunk_bytes))
 
 
-def _pair_top_k(k: int, metric: str, schema: pa.Schema) -> Callable:
-    """k nearest per query of one chunk pair; queries are taken ``QUERY_STEP`` at a time to bound the matrix."""
+def _blocks(rows: int, dim: int, chunk_bytes: int) -> int:
+    """Number of blocks a side is dealt into: every one is sent once per block of the other side."""
+    few = min(FEW_BLOCKS, _chunks(rows, dim, chunk_bytes))
+    return max(few, _chunks(rows, dim, max(chunk_bytes, BLOCK_BYTES)))
+
+
+def _pair_top_k(k: int, metric: str, schema: pa.Schema, chunk_bytes: int) -> Callable:
+    """k nearest per query of one block pair; vectors are taken in chunks of ``chunk_bytes`` and queries ``QUERY_STEP``
+    at a time to bound the matrix."""
 
     def pair(left, right):
         import pandas as pd
@@ -168,16 +178,18 @@ def _pair_top_k(k: int, metric: str, schema: pa.Schema) -> Callable:
         if len(left) == 0 or len(right) == 0:
             return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema})
         ids = pa.array(left["id"].to_numpy(), type=schema.field(1).type)
-        rows = pa.array(list(left["vec"]), type=pa.list_(pa.float64()))
+        rows = pa.array([np.asarray(v, dtype=np.float64) for v in left["vec"]], type=pa.list_(pa.float64()))
         batch = pa.RecordBatch.from_arrays([ids, rows], ["id", "vec"])
         queries = np.stack([np.asarray(v, dtype=np.float64) for v in right["query_vec"]])
         if queries.shape[1] != len(left["vec"].iloc[0]):
             raise ValueError("query vectors and vectors differ in length")
+        step = max(1, chunk_bytes // (8 * max(1, queries.shape[1])))
+        chunks = [batch.slice(at, step) for at in range(0, batch.num_rows, step)]
         query_ids = right["query_id"].tolist()
         out = []
         for at in range(0, len(query_ids), QUERY_STEP):
             scan = _nearest_in_task(query_ids[at : at + QUERY_STEP], queries[at : at + QUERY_STEP], k, metric, schema)
-            out += [b.to_pandas() for b in scan(iter([batch]))]
+            out += [b.to_pandas() for b in scan(iter(chunks))]
         if not out:
             return pd.DataFrame({f.name: pd.Series(dtype=object) for f in schema})
         return pd.concat(out, ignore_index=True)
@@ -185,6 +197,13 @@ def _pair_top_k(k: int, metric: str, schema: pa.Schema) -> Callable:
     return pair
 
 
+def _as_sent(df: DataFrame, vec: str) -> Column:
+    """The vectors as they are shuffled: four bytes a number where the column has no more, else eight."""
+    kind = df.schema[vec].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return F.col(vec) if single else F.col(vec).cast("array<double>")
+
+
 def knn_batch(
     df: DataFrame,
     id_col: str,
@@ -196,20 +215,21 @@ def knn_batch(
 ) -> DataFrame:
     """The ``k`` nearest vectors of every ``(query_id, query_vec)``: ``(query_id, rank, id, score)``.
 
-    Vectors and queries are dealt into chunks of about ``chunk_bytes`` by a hash of the row; every pair of a vector
-    chunk and a query chunk meets under one integer key (each side sent once per chunk of the other side), where a
-    grouped Arrow function keeps the k best per query, and the k best of all pairs are merged per query. Vectors are
-    read once whatever the number of queries and nothing passes through the driver but two row counts. A task holds
-    one chunk pair and a distance block of ``QUERY_STEP`` queries. Score is ``1/(1+d²)`` or ``(1+cos)/2``; ties go to
+    Vectors and queries are dealt into blocks by a hash of the row; every pair of a vector block and a query block
+    meets under one integer key (each side sent once per block of the other side), where a grouped Arrow function
+    takes the vectors in chunks of ``chunk_bytes`` and keeps the k best per query, and the k best of all pairs are
+    merged per query. A block holds ``BLOCK_BYTES`` or a chunk, whichever is more, so small chunks do not multiply what
+    is sent. Vectors are read once whatever the number of queries and nothing passes through the driver but two row
+    counts. A task holds one block pair and a distance matrix of ``QUERY_STEP`` queries and a chunk. Score is ``1/(1+d²)`` or ``(1+cos)/2``; ties go to
     the smaller id. Null vectors and null query vectors take no part.
     """
     check_k(k)
     _check_metric(metric)
     vectors = df.where(F.col(vec).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec")
+        F.col(id_col).alias("id"), _as_sent(df, vec).alias("vec")
     )
     asked = queries.where(F.col("query_vec").isNotNull()).select(
-        "query_id", F.col("query_vec").cast("array<double>").alias("query_vec")
+        "query_id", _as_sent(queries, "query_vec").alias("query_vec")
     )
     sizes = vectors.agg(F.count(F.lit(1)), F.max(F.size("vec"))).head()
     n_asked = asked.count()
@@ -218,7 +238,7 @@ def knn_batch(
             "query_id", F.lit(1).alias("rank"), F.lit(None).cast(df.schema[id_col].dataType).alias("id"),
             F.lit(0.0).alias("score"),
         ).where(F.lit(False))
-    n_v, n_q = _chunks(sizes[0], sizes[1], chunk_bytes), _chunks(n_asked, sizes[1], chunk_bytes)
+    n_v, n_q = _blocks(sizes[0], sizes[1], chunk_bytes), _blocks(n_asked, sizes[1], chunk_bytes)
     v_chunk = F.pmod(F.xxhash64("id", "vec"), F.lit(n_v))
     q_chunk = F.pmod(F.xxhash64("query_id", "query_vec"), F.lit(n_q))
     left = vectors.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)))).select(
@@ -233,7 +253,7 @@ def knn_batch(
         T.StructField("distance", T.DoubleType()),
     ])
     found = left.groupBy("pair").cogroup(right.groupBy("pair")).applyInPandas(
-        _pair_top_k(k, metric, to_arrow_schema(out)), out
+        _pair_top_k(k, metric, to_arrow_schema(out), chunk_bytes), out
     )
     top = top_k_per_group(found, ["query_id"], [F.asc("distance"), F.asc("id")], k)
     return top.select("query_id", "rank", "id", _score(F.col("distance"), metric).alias("score"))

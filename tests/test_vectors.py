@@ -132,3 +132,17 @@ def test_embedding_with_a_model(spark):
     df = spark.createDataFrame([(1, " a\nb "), (2, None)], "id int, t string")
     got = {r.id: r.embedding for r in vectors.embed_text(df, "t", 2, fn=length_model).collect()}
     assert got == {1: [3.0, 1.0], 2: [0.0, 1.0]}
+
+
+def test_small_chunks_do_not_multiply_what_is_sent(spark, df, data):
+    """A side is sent once per block of the other; blocks follow the bytes, not the size of a chunk."""
+    assert vectors._chunks(615_000, 64, 1 << 20) > 300  # blocks before: each side was sent 300 times
+    assert vectors._blocks(615_000, 64, 1 << 20) <= 10
+    assert vectors._blocks(100_000, 64, 1 << 20) == vectors._blocks(10_000, 64, 1 << 20) == vectors.FEW_BLOCKS
+    assert vectors._blocks(10, 64, 1 << 20) == 1
+    queries = spark.createDataFrame([(i, data[i].tolist()) for i in (3, 7, 60)], "query_id int, query_vec array<double>")
+    for metric in vectors.METRICS:
+        got = vectors.knn_batch(df, "id", "vec", queries, 5, metric, chunk_bytes=128).collect()
+        for i in (3, 7, 60):
+            mine = [(r.id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == i]
+            assert mine == [tuple(r) for r in vectors.knn_exact(df, "id", "vec", data[i].tolist(), 5, metric).collect()]
