@@ -6,6 +6,7 @@ flag ``first`` marks the posting of a text's first term, so counting it counts t
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -21,6 +22,8 @@ SCORE_DIGITS = 6
 # Columns searched by default and columns a keyword panel may choose, fixed values.
 TEXT_COLUMNS = ("tourism_info", "transportation", "economics", "introduced_species")
 KEYWORD_COLUMNS = ("region_name", "economics", "transportation", "introduced_species")
+# Bytes of text whose terms are counted in one task, fixed value: a hash map of terms is many times its text.
+PART_BYTES = 4 << 20
 
 
 class TextIndex(NamedTuple):
@@ -71,16 +74,22 @@ def fulltext_preflight(df: DataFrame, cols: list[str]) -> None:
         raise ValueError(f"missing text column(s): {missing}")
 
 
-def build_postings(df: DataFrame, id_col: str, cols: list[str]) -> TextIndex:
-    """Full-text index of several columns. Term counts collapse before the shuffle."""
+def build_postings(df: DataFrame, id_col: str, cols: list[str], part_bytes: int = PART_BYTES) -> TextIndex:
+    """Full-text index of several columns.
+
+    The texts are measured first; their terms are dealt by document, column and length, the keys that postings share,
+    into as many parts as hold ``part_bytes`` of text each. A task's memory therefore does not grow with the table, and
+    the terms are counted after that one shuffle, where a text is smaller than its postings.
+    """
     fulltext_preflight(df, list(cols))
     texts = df.select(F.col(id_col).alias("doc"), *cols).unpivot("doc", list(cols), "column", "text")
-    analyzed = texts.where(F.col("text").isNotNull()).select(
-        "doc", "column", analyze_english("text").alias("terms")
-    )
-    tokens = analyzed.select(
-        "doc", "column", F.size("terms").alias("doc_len"), F.posexplode("terms").alias("pos", "term")
+    texts = texts.where(F.col("text").isNotNull())
+    total = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    analyzed = texts.select("doc", "column", analyze_english("text").alias("terms"))
+    dealt = analyzed.select("doc", "column", F.size("terms").alias("doc_len"), "terms").repartition(
+        max(1, math.ceil(total / part_bytes)), "doc", "column", "doc_len"
     )
+    tokens = dealt.select("doc", "column", "doc_len", F.posexplode("terms").alias("pos", "term"))
     postings = tokens.groupBy("doc", "column", "term", "doc_len").agg(
         F.count(F.lit(1)).alias("tf"), F.max(F.col("pos") == 0).alias("first")
     )

@@ -135,3 +135,21 @@ def test_ranked_result_and_preview(spark):
     assert [(r.name, r.total_rows, r.omitted_rows) for r in shown] == [("a", 3, 1), ("b", 3, 1)]
     with pytest.raises(ValueError):
         ranking.rank_hits(hits, 0, "name")
+
+
+def test_postings_are_counted_in_parts_of_bounded_text(spark):
+    """The parts follow the bytes of the text, not the session's number of shuffle partitions; results stay."""
+    rows = [(i % 190, " ".join(f"word{(i * k) % 37}" for k in range(1, 30))) for i in range(200)] + [(None, None), (7, "")]
+    table = spark.createDataFrame(rows, "id int, economics string")
+    fields = ["doc", "column", "term", "tf", "doc_len", "first"]
+    small = fulltext.build_postings(table, "id", ["economics"], part_bytes=1000).postings
+    parts = small.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = {}
+    for doc, words in rows:
+        for w in (words or "").split():
+            want[doc, w] = want.get((doc, w), 0) + 1
+    got = small.select(*fields).collect()
+    assert {(r.doc, r.term): r.tf for r in got} == want and len(got) == len(want)
+    whole = fulltext.build_postings(table, "id", ["economics"]).postings.select(*fields).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole))
