@@ -29,6 +29,15 @@ _WIDTH = LENGTH - KMER + 1
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _LOW = np.uint64(0xFFFFFFFF)
+# Rows handled at once, so that a task's Python lists stay far below an Arrow batch of texts and anchors.
+BATCH_ROWS = 500
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``BATCH_ROWS`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
 
 
 def kmer_hashes(data: np.ndarray) -> np.ndarray:
@@ -80,7 +89,7 @@ def _digest(ctx: bytes, off: int) -> int:
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per anchor position: the row's key, k-mer, anchor offset, first window, windows, context digest."""
     names = ("key_a", "key_b", "kmer", "off", "s_lo", "n_win", "digest")
-    for batch in batches:
+    for batch in _parts(batches):
         cols = {name: [] for name in names}
         ka, kb = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for a, b, text in zip(ka, kb, batch.column(2).to_pylist()):
@@ -95,7 +104,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the asked contexts of each row."""
-    for batch in batches:
+    for batch in _parts(batches):
         out = {"kmer": [], "off": [], "digest": [], "c": [], "ctx": []}
         for text, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             data = (text or "").encode()
@@ -130,7 +139,8 @@ def _window_keys(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-CHUNK_BYTES = 8 << 20
+# Bytes of contexts compared at once; their hashes and windows take some hundred times as much.
+CHUNK_BYTES = 1 << 19
 
 
 def _compare(batches: Iterator[pa.RecordBatch], chunk_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -139,24 +149,23 @@ def _compare(batches: Iterator[pa.RecordBatch], chunk_bytes: int = CHUNK_BYTES)
     A chunk holds about ``chunk_bytes`` of contexts and is cut only where the k-mer changes, so every k-mer's contexts
     are compared together; a single k-mer with more bytes than that is one chunk.
     """
-    carry: pa.Table | None = None
+    parts: list[pa.Table] = []  # rows not compared yet
+    held = 0
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        table = pa.Table.from_batches([batch]) if carry is None else pa.concat_tables([carry, pa.Table.from_batches([batch])])
-        carry = None
-        if pa.compute.sum(pa.compute.binary_length(table.column("ctx"))).as_py() < chunk_bytes:
-            carry = table
-            continue
-        kmer = table.column("kmer").to_numpy()
-        cut = int(np.searchsorted(kmer, kmer[-1], side="left"))
-        if cut == 0:
-            carry = table
-            continue
-        yield from _compare_chunk(table.slice(0, cut))
-        carry = table.slice(cut)
-    if carry is not None and carry.num_rows:
-        yield from _compare_chunk(carry)
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            part = pa.Table.from_batches([batch.slice(at, BATCH_ROWS)])
+            parts.append(part)
+            held += pa.compute.sum(pa.compute.binary_length(part.column("ctx"))).as_py()
+            if held < chunk_bytes or part.column("kmer")[-1] == parts[0].column("kmer")[0]:
+                continue
+            table = pa.concat_tables(parts)
+            kmer = table.column("kmer").to_numpy()
+            cut = int(np.searchsorted(kmer, kmer[-1], side="left"))
+            yield from _compare_chunk(table.slice(0, cut))
+            parts = [table.slice(cut)]
+            held = pa.compute.sum(pa.compute.binary_length(parts[0].column("ctx"))).as_py()
+    if parts:
+        yield from _compare_chunk(pa.concat_tables(parts))
 
 
 def _compare_chunk(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -193,7 +202,7 @@ def _compare_chunk(table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches):
         d = batch.to_pydict()
         n_bytes, removed, n_spans, digest = [], [], [], []
         for text, a_list, b_list in zip(d["text"], d["span_a"], d["span_b"]):

@@ -77,3 +77,23 @@ def test_chunks_of_whole_kmers_agree_with_one_pass():
         return sorted(out.to_pylist(), key=lambda r: (r["kmer"], r["digest"], r["a"]))
 
     assert spans(500) == spans(1 << 30) and len(spans(500)) > 0
+
+
+def test_a_large_batch_is_compared_in_small_chunks(monkeypatch):
+    import pyarrow as pa
+
+    n, sizes = 4000, []
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(n) // 3), pa.array(np.zeros(n, np.int32)), pa.array(np.arange(n)),
+         pa.array(np.ones(n, np.int64)), pa.array([b"%0300d" % i for i in range(n)])],
+        ["kmer", "off", "digest", "c", "ctx"],
+    )
+    whole = repeats._compare_chunk
+
+    def noted(table):
+        sizes.append(table.nbytes)
+        return whole(table)
+
+    monkeypatch.setattr(repeats, "_compare_chunk", noted)
+    list(repeats._compare(iter([batch]), chunk_bytes=100_000))
+    assert len(sizes) > 3 and max(sizes) < batch.nbytes / 3
