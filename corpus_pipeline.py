@@ -35,9 +35,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id and the SentencePiece ids of every document."""
-    return sentencepiece_stream.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepiece_stream.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), known_words=KNOWN_WORDS)
 
 
+# Words kept by the last stage's workers, fixed value: they run beside an executor's heap that four stages have filled.
+KNOWN_WORDS = 100_000
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("quality", keep_quality),

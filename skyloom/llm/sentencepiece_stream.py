@@ -13,10 +13,10 @@ ids of words already seen are looked up. Ids equal those of the sentencepiece li
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import partial
 from hashlib import md5
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 from skyloom.llm.work import hold, map_arrow
 
 SPACE = "▁"
-KNOWN_WORDS, KNOWN_LENGTH, KNOWN_PAIRS = 500_000, 48, 300_000
+# Words of each of two generations that a Python worker keeps, their length, and pairs of pieces.
+KNOWN_WORDS, KNOWN_LENGTH, KNOWN_PAIRS = 250_000, 48, 400_000
 SLICE_CHARS = 1 << 18
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _loaded: dict[bytes, Pieces] = {}
@@ -46,14 +47,21 @@ class Pieces:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))
         }
         self.score = {p: sp.get_score(i) for p, i in self.ids.items()}
-        self.starts = {p[:k] for p in self.ids for k in range(1, len(p))}
+        # flags 1: a piece, 2: the start of a longer one; above them the number that stands for the piece in a pair
+        self.kinds = {p: (i << 2) + 1 for i, p in enumerate(self.ids, 1)}
+        for start in {p[:k] for p in self.ids for k in range(1, len(p))}:
+            self.kinds[start] = self.kinds.get(start, 0) | 2
         self.joints = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown = sp.unk_id()
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
         self.decoded = [self._bytes_of(sp, i) for i in range(n)]
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        # by the numbers of both pieces: strings as keys would take several times the memory
+        self.pairs: dict[int, bool] = {}
+        # ids of words met before, as the bytes of 32-bit integers; when full, they become the older ones
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.room = KNOWN_WORDS
 
     def _bytes_of(self, sp, i: int) -> bytes:
         if sp.is_byte(i):
@@ -78,14 +86,37 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stable(self, left: str, right: str) -> bool:
+    def number(self, piece: str, kind: int) -> int:
+        """The number of a piece, or one above all of them for a character that is none; 0 for the empty piece."""
+        if kind & 1:
+            return kind >> 2
+        return (1 << 24) + ord(piece) if piece else 0
+
+    def stable(self, left: str, right: str, key: int) -> bool:
         """Whether two neighbouring pieces encode to themselves; the left one may be empty."""
         if len(self.pairs) >= KNOWN_PAIRS:
             self.pairs.clear()
         found = self.merged(left + right) == ([left, right] if left else [right])
-        self.pairs[left, right] = found
+        self.pairs[key] = found
         return found
 
+    def word(self, word: str) -> bytes | None:
+        """Ids of a word met before; one of the older words becomes a newer one."""
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self.older.get(word)
+            if ids is not None:
+                self.keep(word, ids)
+        return ids
+
+    def keep(self, word: str, ids: bytes) -> None:
+        if len(word) > KNOWN_LENGTH:
+            return
+        if len(self.known) >= self.room:
+            self.older = dict(self.known)
+            self.known.clear()
+        self.known[word] = ids
+
     def ids_of(self, piece: str) -> list[int]:
         """A piece's id, or the bytes of a character that is none."""
         i = self.ids.get(piece)
@@ -109,19 +140,22 @@ class Stream:
 
     def _leave(self, upto: int) -> None:
         """Sets the backpointers of all boundaries reached from those before ``upto``."""
-        text, last, ids, starts, pairs = self.text, self.last, self.p.ids, self.p.starts, self.p.pairs
+        text, last, kinds, pairs = self.text, self.last, self.p.kinds, self.p.pairs
         n = len(text)
         for at in range(self.at, upto):
             before = last[at]
             if before is None:
                 continue
+            left = self.p.number(before, kinds.get(before, 0)) << 32
             for end in range(at + 1, n + 1):
                 piece = text[at:end]
-                if piece in ids or end == at + 1:
-                    key = before, piece
-                    if pairs[key] if key in pairs else self.p.stable(before, piece):
+                kind = kinds.get(piece, 0)
+                if kind & 1 or end == at + 1:
+                    key = left + (kind >> 2 if kind & 1 else self.p.number(piece, kind))
+                    stable = pairs.get(key)
+                    if self.p.stable(before, piece, key) if stable is None else stable:
                         last[end] = piece
-                if piece not in starts:
+                if kind < 2:
                     break
         self.at = upto
 
@@ -174,45 +208,47 @@ class Stream:
         return out
 
 
-def _word_ids(p: Pieces, word: str) -> tuple[int, ...]:
+def _word_ids(p: Pieces, word: str) -> bytes:
     """Ids of a word, looked up or found part by part: no piece holds two characters that are no joint."""
-    joints, start, out = p.joints, 0, ()
+    joints, start, out = p.joints, 0, b""
     for k in range(1, len(word)):
         if word[k - 1 : k + 1] not in joints:
             out += _known_ids(p, word[start:k])
             start = k
-    return out + (_known_ids(p, word[start:]) if start else _found_ids(p, word))
+    return out + _known_ids(p, word[start:]) if start else _found_ids(p, word)
 
 
-def _known_ids(p: Pieces, part: str) -> tuple[int, ...]:
-    ids = p.known.get(part)
+def _known_ids(p: Pieces, part: str) -> bytes:
+    ids = p.word(part)
     if ids is None:
         ids = _found_ids(p, part)
-        if len(part) <= KNOWN_LENGTH:
-            if len(p.known) >= KNOWN_WORDS:
-                p.known.clear()
-            p.known[part] = ids
+        p.keep(part, ids)
     return ids
 
 
-def _found_ids(p: Pieces, word: str) -> tuple[int, ...]:
+def _found_ids(p: Pieces, word: str) -> bytes:
     if len(word) > p.longest:
         stream = Stream(p)
-        return tuple(stream.push(word) + stream.finish())
+        return array("i", stream.push(word) + stream.finish()).tobytes()
     # the same search over a word that fits into the window whole
-    n, ids, starts, pairs = len(word), p.ids, p.starts, p.pairs
+    n, ids, kinds, pairs = len(word), p.ids, p.kinds, p.pairs
     last: list[str | None] = [""] + [None] * n
+    numbers = [0] * (n + 1)
     for at in range(n):
         before = last[at]
         if before is None:
             continue
+        left = numbers[at] << 32
         for end in range(at + 1, n + 1):
             piece = word[at:end]
-            if piece in ids or end == at + 1:
-                stable = pairs.get((before, piece))
-                if p.stable(before, piece) if stable is None else stable:
+            kind = kinds.get(piece, 0)
+            if kind & 1 or end == at + 1:
+                number = kind >> 2 if kind & 1 else p.number(piece, kind)
+                stable = pairs.get(left + number)
+                if p.stable(before, piece, left + number) if stable is None else stable:
                     last[end] = piece
-            if piece not in starts:
+                    numbers[end] = number
+            if kind < 2:
                 break
     out: list[int] = []
     while n:
@@ -221,7 +257,7 @@ def _found_ids(p: Pieces, word: str) -> tuple[int, ...]:
         out += p.ids_of(piece)[::-1] if i is None else (i,)
         n -= len(piece)
     out.reverse()
-    return tuple(out)
+    return array("i", out).tobytes()
 
 
 def _slices(text: str) -> Iterator[str]:
@@ -246,11 +282,12 @@ def encode(p: Pieces, text: str | None) -> np.ndarray:
         if None in ids:
             for i, word in enumerate(words):
                 if ids[i] is None:
-                    ids[i] = known.get(word) or _word_ids(p, word)
-                    if len(word) <= KNOWN_LENGTH and len(known) < KNOWN_WORDS:
-                        known[word] = ids[i]
-        found.append(np.fromiter(chain.from_iterable(ids), np.int32))
-    return np.concatenate(found)
+                    ids[i] = p.word(word)
+                    if ids[i] is None:
+                        ids[i] = _word_ids(p, word)
+                        p.keep(word, ids[i])
+        found += ids
+    return np.frombuffer(b"".join(found), np.int32)
 
 
 def decode(p: Pieces, ids) -> str:
@@ -260,16 +297,17 @@ def decode(p: Pieces, ids) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def _pieces(model: bytes) -> Pieces:
+def _pieces(model: bytes, known_words: int = KNOWN_WORDS) -> Pieces:
     hold("sentencepiece", _loaded.clear)
     key = md5(model).digest()
     if key not in _loaded:
         _loaded[key] = Pieces(model)
+    _loaded[key].room = known_words
     return _loaded[key]
 
 
-def _encode(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
-    p = _pieces(model.value)
+def _encode(batches: Iterator[pa.RecordBatch], model: Broadcast, known_words: int) -> Iterator[pa.RecordBatch]:
+    p = _pieces(model.value, known_words)
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
@@ -292,11 +330,17 @@ def _model(df: DataFrame, path: str) -> Broadcast:
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, ids) of every row. A null or empty text has no ids; repeated rows are repeated, others ignored."""
+def encoded(
+    docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", known_words: int = KNOWN_WORDS
+) -> DataFrame:
+    """(id_col, ids) of every row. A null or empty text has no ids; repeated rows are repeated, others ignored.
+
+    A worker keeps the ids of up to twice ``known_words`` words; fewer take less memory and more time.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    found = map_arrow(rows, partial(_encode, model=_model(docs, model_path)), f"id {kind}, ids array<int>")
+    encode_rows = partial(_encode, model=_model(docs, model_path), known_words=known_words)
+    found = map_arrow(rows, encode_rows, f"id {kind}, ids array<int>")
     return found.withColumnRenamed("id", id_col)
 
 

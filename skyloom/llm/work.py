@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -60,6 +61,8 @@ def hold(name: str, release: Callable[[], None]) -> None:
     global _holder
     if _holder is not None and _holder[0] != name:
         _holder[1]()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
     _holder = (name, release)
 
 

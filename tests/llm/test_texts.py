@@ -400,3 +400,18 @@ def test_stages_keep_the_columns_and_stand_odd_rows(spark, tmp_path):
             docs = stage(spark, docs, d)
             assert docs.columns == df.columns
     assert corpus_pipeline.run(spark, d).count() > 0
+
+
+def test_pieces_keep_a_bounded_number_of_words(pieces):
+    """Words that no longer fit become the older ones; ids do not depend on what is kept."""
+    text = " ".join(f"word{i}x{i * 7 % 91}" for i in range(400)) + " Grüße 漢字"
+    want = sentencepiece_stream.encode(pieces, text).tolist()
+    room, pieces.room = pieces.room, 50
+    try:
+        pieces.known.clear()
+        for _ in range(2):
+            assert sentencepiece_stream.encode(pieces, text).tolist() == want
+            assert len(pieces.known) <= 50 and len(pieces.older) <= 50 and pieces.older
+    finally:
+        pieces.room = room
+    assert all(isinstance(key, int) for key in pieces.pairs)
