@@ -38,7 +38,7 @@ DICTIONARY_CHARS = 3000
 CONTRAST, DEVIATIONS = 10.0, 1.5
 # Bytes of the runs that are counted, with as many bytes before them as a beginning has.
 RUNS, BEGINNING = (5, 6, 8, 12, 24), 6
-COUNTERS, SEEN = 1 << 22, 1 << 26
+COUNTERS, SEEN, COUNTERS_AT_ONCE = 1 << 22, 1 << 26, 1 << 18
 BASE_BYTES, ADDED_BYTES, LEAST_BYTES = 4096, 8192, 512
 BASE_WINDOWS = 50_000
 SEGMENT, PART = 24, 6
@@ -165,16 +165,28 @@ def _plain(text: str) -> bytes:
 
 def _counted(texts: list[bytes], length: int) -> np.ndarray:
     """Different beginnings of each run in the texts; hashed, so a few runs share a counter."""
-    seen, counts = np.zeros(SEEN, bool), np.zeros(COUNTERS, np.int32)
+    seen, counts = np.zeros(SEEN >> 3, np.uint8), np.zeros(COUNTERS, np.int32)
     for text in texts:
         run, whole = _runs(text, length)
         whole, first = np.unique(whole, return_index=True)
-        new = ~seen[whole]
-        seen[whole[new]] = True
+        byte, bit = whole >> 3, np.left_shift(1, whole & 7).astype(np.uint8)
+        new = (seen[byte] & bit) == 0
+        np.bitwise_or.at(seen, byte[new], bit[new])
         np.add.at(counts, run[first[new]], 1)
     return counts
 
 
+def _strong(ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Which counters are of strong contrast; a part of them at a time, so the logarithms of all never stand together."""
+    totals = [max(1, int(c.sum())) for c in (ordinary, toxic)]
+    strong = np.zeros(len(toxic), bool)
+    for at in range(0, len(toxic), COUNTERS_AT_ONCE):
+        o, t = (c[at : at + COUNTERS_AT_ONCE] + 0.5 for c in (ordinary, toxic))
+        odds = np.log(t / o) + math.log(totals[0] / totals[1])
+        strong[at : at + COUNTERS_AT_ONCE] = odds - DEVIATIONS * np.sqrt(1 / t + 1 / o) >= math.log(CONTRAST)
+    return strong
+
+
 def _passages(texts: list[bytes], strong: dict[int, np.ndarray]) -> list[bytes]:
     """The stretches of the texts that runs of strong contrast cover; once for each different surrounding."""
     found: dict[bytes, bytes] = {}
@@ -202,13 +214,7 @@ def _trained(size: int, samples: list[bytes]) -> bytes:
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes, bytes] | None:
     """Base, toxic and ordinary content trained on texts of both classes; None if no passage tells them apart."""
     texts = [[_plain(t) for t in ordinary], [_plain(t) for t in toxic]]
-    strong: dict[int, np.ndarray] = {}
-    for length in RUNS:
-        counts = [_counted(t, length) for t in texts]
-        totals = [max(1, int(c.sum())) for c in counts]
-        o, t = (c + 0.5 for c in counts)
-        odds = np.log(t / o) + math.log(totals[0] / totals[1])
-        strong[length] = odds - DEVIATIONS * np.sqrt(1 / t + 1 / o) >= math.log(CONTRAST)
+    strong = {length: _strong(*(_counted(t, length) for t in texts)) for length in RUNS}
     passages = _passages(texts[1], strong)
     if not passages:
         return None
@@ -231,7 +237,10 @@ def train(chosen: Sample) -> Model | None:
     piece = F.substring("text", F.pmod(F.xxhash64("id", F.lit(3)), room).cast("int") + 1, F.lit(DICTIONARY_CHARS))
     seen = for_words.select("label", piece.alias("text"), F.xxhash64("id").alias("_h")).orderBy("_h", "text").toArrow()
     label, text = seen.column("label").to_pylist(), seen.column("text").to_pylist()
-    parts = dictionaries(*([t for t, y in zip(text, label) if y == c] for c in (1, 0)))
+    by_class = [[t for t, y in zip(text, label) if y == c] for c in (1, 0)]
+    del seen, label, text
+    parts = dictionaries(*by_class)
+    del by_class
     if parts is None or len(parts[0]) < 128:
         return None
     base, toxic, ordinary = parts

@@ -4,6 +4,7 @@ import math
 import os
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -344,6 +345,17 @@ def test_compression_knows_the_words():
     assert bad > 0 >= good and neutral == 0
 
 
+def test_training_dictionaries_takes_little_memory():
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 7))) for _ in range(150)]
+    plain = [" ".join(rng.choices(words, k=40)) for _ in range(200)]
+    tracemalloc.start()
+    parts = toxicity.dictionaries([t + " horrid nasty thing" for t in plain[:100]], plain[100:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert parts is not None and peak < 90 << 20
+
+
 def test_toxic_passages_of_common_words_with_and_without_spaces(spark):
     rng = np.random.default_rng(4)
     words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 7))) for _ in range(150)]
@@ -364,6 +376,19 @@ def test_toxic_passages_of_common_words_with_and_without_spaces(spark):
 # Pipeline
 
 
+def test_stages_hand_texts_over_in_short_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    given = spark.conf.get(key)
+    try:
+        for before, after in ((10_000, 1000), (0, 1000), (300, 300)):
+            spark.conf.set(key, before)
+            docs = spark.range(2500).selectExpr("id as doc_id", "'some words' as text")
+            ids = corpus_pipeline.encode_pieces(spark, docs, "")
+            assert ids.count() == 2500 and int(spark.conf.get(key)) == after
+    finally:
+        spark.conf.set(key, given)
+
+
 def test_pipeline_equals_a_plain_version(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     labels = spark.read.parquet(f"{sf}/labels.parquet")
