@@ -18,7 +18,6 @@ The model is fitted on a bounded sample of labelled rows; a fourth of it is kept
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from functools import partial
 from itertools import islice
@@ -47,7 +46,8 @@ OFFSETS = b"".join(n.to_bytes(4, "little") for n in (1, 4, 8))
 THRESHOLDS = tuple(range(2, 10))
 SLICE_CHARS = 1 << 20
 PIECE, WORDS, STEP = 32, 4, 2
-BATCH = 20_000
+# Windows compressed in one call, and texts cut into windows together.
+BATCH, TEXTS = 4000, 100
 
 
 class Model:
@@ -73,60 +73,89 @@ class Model:
             for content in self.dictionaries:
                 d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 d.precompute_compress(compression_params=parameters)
-                found.append(zstandard.ZstdCompressor(dict_data=d, compression_params=parameters).compress)
+                compressor = zstandard.ZstdCompressor(dict_data=d, compression_params=parameters)
+                found.append(compressor.multi_compress_to_buffer)
             self._compress = found
         return self._compress
 
     def differences(self, windows: list[bytes]) -> list[int]:
         """Bytes that the toxic dictionary saves on each window against the ordinary one."""
-        ordinary, toxic = self._compressors()
-        framed = [b"%b %b %b" % (self.lead, w, self.tail) for w in windows]
-        return [len(a) - len(b) for a, b in zip(map(ordinary, framed), map(toxic, framed))]
+        if not windows:
+            return []
+        lead, tail = self.lead + b" ", b" " + self.tail
+        size = np.fromiter(map(len, windows), np.uint64, len(windows)) + np.uint64(len(lead) + len(tail))
+        at = np.stack([size.cumsum() - size, size], axis=1)
+        framed = zstandard.BufferWithSegments(lead + (tail + lead).join(windows) + tail, at.tobytes())
+        ordinary, toxic = (compress(framed, threads=1) for compress in self._compressors())
+        return [len(a) - len(b) for a, b in zip(ordinary, toxic)]
 
     def features(self, text: str | None) -> np.ndarray:
-        counts, n = np.zeros(max(THRESHOLDS) + 1, np.int64), 0
-        for windows in _windows(text or ""):
-            found = np.clip(np.array(self.differences(windows), np.int64), 0, max(THRESHOLDS))
-            counts += np.bincount(found, minlength=len(counts))
-            n += len(windows)
-        reached = counts[::-1].cumsum()[::-1]
-        return np.log1p(np.array([*[reached[t] for t in THRESHOLDS], n]))
-
-
-_WORDS = re.compile(rb"[^\x20\x09-\x0D]{1,%d}" % PIECE)
+        return self.features_of([text])[0]
+
+    def features_of(self, texts: list[str | None]) -> np.ndarray:
+        """A row of features for each text; windows of several texts are compressed in one call."""
+        most = max(THRESHOLDS)
+        counts = np.zeros((len(texts), most + 1), np.int64)
+        waiting: list[bytes] = []
+        owner: list[tuple[int, int]] = []
+
+        def count() -> None:
+            rows = np.repeat(*np.array(owner, np.int64).reshape(-1, 2).T)
+            np.add.at(counts, (rows, np.clip(np.array(self.differences(waiting), np.int64), 0, most)), 1)
+            waiting.clear()
+            owner.clear()
+
+        for i, text in enumerate(texts):
+            for windows in _windows(text or ""):
+                waiting += windows
+                owner.append((i, len(windows)))
+                if len(waiting) >= BATCH:
+                    count()
+        count()
+        reached = counts[:, ::-1].cumsum(axis=1)[:, ::-1]
+        return np.log1p(np.c_[reached[:, list(THRESHOLDS)], reached[:, 0]])
 
 
 def _windows(text: str) -> Iterator[list[bytes]]:
     """Overlapping windows of a lower-cased text, as lists of bounded length."""
     before: list[bytes] = []
     for start in range(0, len(text), SLICE_CHARS):
-        before, out = _cut(before, text, start), []
+        before = _cut(before, text, start)
         last = start + SLICE_CHARS >= len(text)
-        at = 0
-        while at + WORDS < len(before) or (last and at < len(before)):
-            out.append(b" ".join(before[at : at + WORDS]))
-            if last and at + WORDS >= len(before):
-                break
-            at += STEP
-            if len(out) == BATCH:
-                yield out
-                out = []
-        yield out
-        before = before[at:]
+        n = len(before)
+        # the windows that more words follow, and of the last words one that reaches the end
+        many = max(0, -(-(n - WORDS) // STEP)) + (last and n > 0)
+        whole = b" ".join(before)
+        begins = np.cumsum([0, *map(len, before)]) + np.arange(n + 1)
+        ends = begins[np.minimum(np.arange(many) * STEP + WORDS, n)] - 1
+        spans = list(zip(begins[: many * STEP : STEP].tolist(), ends.tolist()))
+        for at in range(0, max(many, 1), BATCH):
+            yield [whole[b:e] for b, e in spans[at : at + BATCH]]
+        before = before[many * STEP :]
 
 
 def _cut(before: list[bytes], text: str, start: int) -> list[bytes]:
-    return before + _WORDS.findall(text[start : start + SLICE_CHARS].lower().encode())
+    """The words carried over and those of the next slice, long ones in pieces."""
+    words = text[start : start + SLICE_CHARS].lower().encode().split()
+    if max(map(len, words), default=0) > PIECE:
+        words = [w[at : at + PIECE] for w in words for at in range(0, len(w), PIECE)]
+    return before + words
 
 
 def _keeps_nothing() -> None:
     """What ``hold`` calls: windows are not looked up, but what other operators keep is to go."""
 
 
+def _features_of(model: Model, column: pa.Array) -> np.ndarray:
+    """Features of the texts of a column, of which few are Python texts at a time."""
+    starts = range(0, len(column), TEXTS)
+    return np.concatenate([model.features_of(column.slice(at, TEXTS).to_pylist()) for at in starts])
+
+
 def _features(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
     hold("toxicity", _keeps_nothing)
     for batch in batches:
-        rows = [model.value.features(t.as_py()).tolist() for t in batch.column(0)]
+        rows = _features_of(model.value, batch.column(0)).tolist() if batch.num_rows else []
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["features", "label"]
         )
@@ -138,7 +167,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.R
     for batch in batches:
         score = np.zeros(batch.num_rows)
         if known is not None and batch.num_rows:
-            score = known.curve.score(np.array([known.features(t.as_py()) for t in batch.column(1)]))
+            score = known.curve.score(_features_of(known, batch.column(1)))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["id", "score"])
 
 
@@ -303,5 +332,5 @@ def _keep(batches: Iterator[pa.RecordBatch], model: Broadcast, at: int) -> Itera
         if known is None or not batch.num_rows:
             yield batch
             continue
-        score = known.curve.score(np.array([known.features(t.as_py()) for t in batch.column(at)]))
+        score = known.curve.score(_features_of(known, batch.column(at)))
         yield batch.filter(pa.array(score < CUT))

@@ -345,6 +345,25 @@ def test_compression_knows_the_words():
     assert bad > 0 >= good and neutral == 0
 
 
+def test_windows_of_several_texts_are_compressed_in_one_call(monkeypatch):
+    model = toxicity.Model(b"the and of with " * 40, b" horrid nasty thing " + b"x" * 16, b" pleasant sunny day " + b"x" * 16)
+    rng = random.Random(8)
+    words = ["horrid", "nasty", "thing", "pleasant", "day", "the", "x" * 70, "été", "A"]
+    texts = [None, "", " \n", *(" ".join(rng.choices(words, k=rng.randint(1, 40))) for _ in range(60))]
+    monkeypatch.setattr(toxicity, "BATCH", 50)
+    calls, differences = [], toxicity.Model.differences
+    monkeypatch.setattr(toxicity.Model, "differences", lambda m, w: calls.append(len(w)) or differences(m, w))
+    found = model.features_of(texts)
+    assert len(calls) < len(texts) / 2 and max(calls) < 100
+    for text, row in zip(texts, found):
+        pieces = [w[k : k + 32] for w in (text or "").lower().encode().split() for k in range(0, len(w), 32)]
+        last = max(0, -(-(len(pieces) - 4) // 2))
+        windows = [b" ".join(pieces[2 * k : 2 * k + 4]) for k in range(last + 1)] if pieces else []
+        saved = [differences(model, [w])[0] for w in windows]
+        plain = [*(sum(s >= t for s in saved) for t in toxicity.THRESHOLDS), len(windows)]
+        assert np.array_equal(row, np.log1p(np.array(plain))) and np.array_equal(row, model.features(text))
+
+
 def test_training_dictionaries_takes_little_memory():
     rng = random.Random(2)
     words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 7))) for _ in range(150)]
