@@ -7,28 +7,32 @@ longest piece matter for what follows, so the window holds no more than those an
 as the backpointers of all boundaries in the window lead through one boundary, the ids before it are committed.
 
 No piece runs from a character into the white space after it, so words are such stretches between agreed boundaries;
-ids of words already seen are looked up. Ids equal those of the sentencepiece library, byte fallback included.
+ids of words already seen are looked up. A backpointer depends on the text before its boundary only, so the new words of
+several texts are searched in order, and a word goes on from the boundaries it shares with the word before it. Ids equal
+those of the sentencepiece library, byte fallback included.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 from hashlib import md5
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from skyloom.llm.work import hold, map_arrow
+from skyloom.llm.work import hold, map_arrow, texts_of
 
 SPACE = "▁"
 # Words of each of two generations that a Python worker keeps, their length, and pairs of pieces.
 KNOWN_WORDS, KNOWN_LENGTH, KNOWN_PAIRS = 250_000, 48, 400_000
-SLICE_CHARS = 1 << 18
+# Characters whose words are looked up together, and texts read together.
+SLICE_CHARS, TEXTS = 1 << 18, 100
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _loaded: dict[bytes, Pieces] = {}
 
@@ -47,10 +51,10 @@ class Pieces:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))
         }
         self.score = {p: sp.get_score(i) for p, i in self.ids.items()}
-        # flags 1: a piece, 2: the start of a longer one; above them the number that stands for the piece in a pair
+        # flags 1: a piece, 2: the end of a longer one; above them the number that stands for the piece in a pair
         self.kinds = {p: (i << 2) + 1 for i, p in enumerate(self.ids, 1)}
-        for start in {p[:k] for p in self.ids for k in range(1, len(p))}:
-            self.kinds[start] = self.kinds.get(start, 0) | 2
+        for end in {p[k:] for p in self.ids for k in range(1, len(p))}:
+            self.kinds[end] = self.kinds.get(end, 0) | 2
         self.joints = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown = sp.unk_id()
@@ -117,6 +121,34 @@ class Pieces:
             self.known.clear()
         self.known[word] = ids
 
+    def extend(self, text: str, last: list[str | None], lefts: list[int]) -> None:
+        """Sets the backpointers of the boundaries of ``text`` that ``last`` does not hold yet.
+
+        ``last`` holds the piece that ends at each boundary, if one can, and ``lefts`` what that piece adds to the
+        key of a pair as its left one.
+        """
+        kinds, pairs = self.kinds, self.pairs
+        for end in range(len(last), len(text) + 1):
+            found, left = None, 0
+            start = end - 1
+            while start >= 0:
+                piece = text[start:end]
+                kind = kinds.get(piece, 0)
+                if kind & 1 or start == end - 1:
+                    before = last[start]
+                    if before is not None:
+                        number = kind >> 2 if kind & 1 else self.number(piece, kind)
+                        key = lefts[start] + number
+                        stable = pairs.get(key)
+                        if self.stable(before, piece, key) if stable is None else stable:
+                            found, left = piece, number << 32
+                            break
+                if not kind & 2:
+                    break
+                start -= 1
+            last.append(found)
+            lefts.append(left)
+
     def ids_of(self, piece: str) -> list[int]:
         """A piece's id, or the bytes of a character that is none."""
         i = self.ids.get(piece)
@@ -134,42 +166,19 @@ class Stream:
         self.p = pieces
         self.text = ""  # from the last agreed boundary on
         self.last: list[str | None] = [""]  # the piece that ends at each boundary, if one can
-        self.at = 0  # boundaries before this one have been left by all pieces that start there
+        self.lefts = [0]  # what it adds to the key of a pair
         self.done: list[int] = []
         self.widest = 0
 
-    def _leave(self, upto: int) -> None:
-        """Sets the backpointers of all boundaries reached from those before ``upto``."""
-        text, last, kinds, pairs = self.text, self.last, self.p.kinds, self.p.pairs
-        n = len(text)
-        for at in range(self.at, upto):
-            before = last[at]
-            if before is None:
-                continue
-            left = self.p.number(before, kinds.get(before, 0)) << 32
-            for end in range(at + 1, n + 1):
-                piece = text[at:end]
-                kind = kinds.get(piece, 0)
-                if kind & 1 or end == at + 1:
-                    key = left + (kind >> 2 if kind & 1 else self.p.number(piece, kind))
-                    stable = pairs.get(key)
-                    if self.p.stable(before, piece, key) if stable is None else stable:
-                        last[end] = piece
-                if kind < 2:
-                    break
-        self.at = upto
-
     def push(self, part: str) -> list[int]:
         """Takes more text and returns the ids agreed on since the last call."""
         longest = self.p.longest
         for k in range(0, len(part), longest):
-            more = part[k : k + longest]
-            self.text += more
-            self.last += [None] * len(more)
+            self.text += part[k : k + longest]
+            self.p.extend(self.text, self.last, self.lefts)
             self.widest = max(self.widest, len(self.last))
-            if len(self.text) - self.at > longest:
-                self._leave(len(self.text) - longest)
-                self._commit()
+            if len(self.text) > longest:
+                self._commit(len(self.text) - longest)
         out, self.done = self.done, []
         return out
 
@@ -181,10 +190,10 @@ class Stream:
             out.append(end)
         return out
 
-    def _commit(self) -> None:
-        """Gives out the pieces before the last boundary that all open paths lead through."""
+    def _commit(self, first: int) -> None:
+        """Gives out the pieces before the last boundary that all paths open from ``first`` on lead through."""
         shared: set[int] | None = None
-        for end in range(self.at, len(self.last)):
+        for end in range(first, len(self.last)):
             if self.last[end] is not None:
                 path = set(self._path(end))
                 shared = path if shared is None else shared & path
@@ -199,65 +208,83 @@ class Stream:
             self.done += self.p.ids_of(self.text[a:b])
         self.text = self.text[end:]
         self.last = self.last[end:]
-        self.at = max(0, self.at - end)
+        self.lefts = self.lefts[end:]
 
     def finish(self) -> list[int]:
-        self._leave(len(self.text))
         self._give(len(self.last) - 1)
         out, self.done = self.done, []
         return out
 
 
-def _word_ids(p: Pieces, word: str) -> bytes:
-    """Ids of a word, looked up or found part by part: no piece holds two characters that are no joint."""
-    joints, start, out = p.joints, 0, b""
+def _parts(p: Pieces, word: str) -> list[str]:
+    """Parts of a word that no piece runs over: no piece holds two characters that are no joint."""
+    joints, start, out = p.joints, 0, []
+    if joints.issuperset(map(add, word, word[1:])):
+        return [word]
     for k in range(1, len(word)):
         if word[k - 1 : k + 1] not in joints:
-            out += _known_ids(p, word[start:k])
+            out.append(word[start:k])
             start = k
-    return out + _known_ids(p, word[start:]) if start else _found_ids(p, word)
-
-
-def _known_ids(p: Pieces, part: str) -> bytes:
-    ids = p.word(part)
-    if ids is None:
-        ids = _found_ids(p, part)
-        p.keep(part, ids)
-    return ids
-
-
-def _found_ids(p: Pieces, word: str) -> bytes:
-    if len(word) > p.longest:
-        stream = Stream(p)
-        return array("i", stream.push(word) + stream.finish()).tobytes()
-    # the same search over a word that fits into the window whole
-    n, ids, kinds, pairs = len(word), p.ids, p.kinds, p.pairs
-    last: list[str | None] = [""] + [None] * n
-    numbers = [0] * (n + 1)
-    for at in range(n):
-        before = last[at]
-        if before is None:
+    return [*out, word[start:]]
+
+
+def _found(p: Pieces, words: Iterable[str]) -> dict[str, bytes]:
+    """Ids of words that are not looked up, each word searched from the boundaries it shares with the one before."""
+    out: dict[str, bytes] = {}
+    last: list[str | None] = [""]
+    lefts, before = [0], ""
+    ids_of = p.ids.get
+    for word in sorted(words):
+        if len(word) > p.longest:
+            stream = Stream(p)
+            out[word] = array("i", stream.push(word) + stream.finish()).tobytes()
             continue
-        left = numbers[at] << 32
-        for end in range(at + 1, n + 1):
-            piece = word[at:end]
-            kind = kinds.get(piece, 0)
-            if kind & 1 or end == at + 1:
-                number = kind >> 2 if kind & 1 else p.number(piece, kind)
-                stable = pairs.get(left + number)
-                if p.stable(before, piece, left + number) if stable is None else stable:
-                    last[end] = piece
-                    numbers[end] = number
-            if kind < 2:
+        shared = 0
+        for a, b in zip(word, before):
+            if a != b:
                 break
-    out: list[int] = []
-    while n:
-        piece = last[n]
-        i = ids.get(piece)
-        out += p.ids_of(piece)[::-1] if i is None else (i,)
-        n -= len(piece)
-    out.reverse()
-    return array("i", out).tobytes()
+            shared += 1
+        del last[shared + 1 :], lefts[shared + 1 :]
+        p.extend(word, last, lefts)
+        before = word
+        n, ids = len(word), []
+        while n:
+            piece = last[n]
+            i = ids_of(piece)
+            ids += p.ids_of(piece)[::-1] if i is None else (i,)
+            n -= len(piece)
+        ids.reverse()
+        out[word] = array("i", ids).tobytes()
+    return out
+
+
+def _new_words(p: Pieces, words: set[str]) -> dict[str, bytes]:
+    """Ids of words, looked up or found part by part; they are kept."""
+    out: dict[str, bytes] = {}
+    parts: dict[str, list[str]] = {}
+    for word in words:
+        ids = p.word(word)
+        if ids is None:
+            parts[word] = _parts(p, word)
+        else:
+            out[word] = ids
+    known: dict[str, bytes] = {}
+    missing = set()
+    for part in {part for several in parts.values() for part in several}:
+        ids = p.word(part)
+        if ids is None:
+            missing.add(part)
+        else:
+            known[part] = ids
+    known |= _found(p, missing)
+    for word, several in parts.items():
+        out[word] = known[several[0]] if len(several) == 1 else b"".join(map(known.__getitem__, several))
+        for part in several:
+            if part in missing:
+                p.keep(part, known[part])
+                missing.discard(part)
+        p.keep(word, out[word])
+    return out
 
 
 def _slices(text: str) -> Iterator[str]:
@@ -273,21 +300,37 @@ def _slices(text: str) -> Iterator[str]:
 
 def encode(p: Pieces, text: str | None) -> np.ndarray:
     """Ids of a whole text, without begin or end."""
-    if not text:
-        return np.zeros(0, np.int32)
-    known, found = p.known, []
-    for part in _slices(SPACE + text.replace(" ", SPACE)):
-        words = _WORD.findall(part)
-        ids = list(map(known.get, words))
+    return encode_all(p, [text])[0]
+
+
+def encode_all(p: Pieces, texts: list[str | None]) -> list[np.ndarray]:
+    """Ids of whole texts, without begin or end; the new words of several texts are found together."""
+    found: list[list[bytes]] = [[] for _ in texts]
+    waiting: list[tuple[int, list[str]]] = []
+    chars = 0
+    for i, text in enumerate(texts):
+        if not text:
+            continue
+        for part in _slices(SPACE + text.replace(" ", SPACE)):
+            waiting.append((i, _WORD.findall(part)))
+            chars += len(part)
+            if chars >= SLICE_CHARS:
+                _look_up(p, waiting, found)
+                waiting, chars = [], 0
+    _look_up(p, waiting, found)
+    return [np.frombuffer(b"".join(ids), np.int32) for ids in found]
+
+
+def _look_up(p: Pieces, waiting: list[tuple[int, list[str]]], found: list[list[bytes]]) -> None:
+    """Adds the ids of the words of each text to what is found of it."""
+    known = p.known.get
+    ids_of = [list(map(known, words)) for _, words in waiting]
+    new = {w for (_, words), ids in zip(waiting, ids_of) if None in ids for w, x in zip(words, ids) if x is None}
+    new_ids = _new_words(p, new) if new else {}
+    for (i, words), ids in zip(waiting, ids_of):
         if None in ids:
-            for i, word in enumerate(words):
-                if ids[i] is None:
-                    ids[i] = p.word(word)
-                    if ids[i] is None:
-                        ids[i] = _word_ids(p, word)
-                        p.keep(word, ids[i])
-        found += ids
-    return np.frombuffer(b"".join(found), np.int32)
+            ids = [new_ids[w] if x is None else x for w, x in zip(words, ids)]
+        found[i] += ids
 
 
 def decode(p: Pieces, ids) -> str:
@@ -309,9 +352,9 @@ def _pieces(model: bytes, known_words: int = KNOWN_WORDS) -> Pieces:
 def _encode(batches: Iterator[pa.RecordBatch], model: Broadcast, known_words: int) -> Iterator[pa.RecordBatch]:
     p = _pieces(model.value, known_words)
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            ids = [encode(p, t.as_py()) for t in part.column(1)]
+        for at in range(0, batch.num_rows, TEXTS):
+            part = batch.slice(at, TEXTS)
+            ids = encode_all(p, part.column(1).to_pylist())
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, flat)], ["id", "ids"])
@@ -356,12 +399,12 @@ def _both(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.Re
     p = _pieces(model.value)
     for batch in batches:
         n, same, digest = [], [], []
-        for value in batch.column(1):
-            text = value.as_py() or ""
-            ids = encode(p, text)
-            n.append(len(ids))
-            same.append(decode(p, ids.tolist()) == text)
-            digest.append(md5(ids.astype("<i4").tobytes()).hexdigest())
+        for at in range(0, batch.num_rows, TEXTS):
+            texts = texts_of(batch.column(1).slice(at, TEXTS))
+            for text, ids in zip(texts, encode_all(p, texts)):
+                n.append(len(ids))
+                same.append(decode(p, ids.tolist()) == text)
+                digest.append(md5(ids.astype("<i4").tobytes()).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(same, pa.bool_())],
             ["id", "n_tokens", "ids_md5", "round_trip"],

@@ -105,6 +105,25 @@ def test_stream_in_any_parts_and_bounded_window(pieces):
         assert stream.widest <= 8 * pieces.longest
 
 
+def test_new_words_go_on_from_shared_boundaries(pieces, monkeypatch):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    words = [f"zqinter{a}{b}ationalx" for a in "abcde" for b in "fghij"]
+    texts = [" ".join(words[:13]), None, "", " ".join(words[13:]), "  " + words[3] + " ▁ é日 \n" + "ab" * 300]
+    searched, extend = [], sentencepiece_stream.Pieces.extend
+
+    def counted(self, text, last, lefts):
+        searched.append(len(text) + 1 - len(last))
+        extend(self, text, last, lefts)
+
+    monkeypatch.setattr(sentencepiece_stream.Pieces, "extend", counted)
+    assert [i.tolist() for i in sentencepiece_stream.encode_all(pieces, texts[:4])] == [sp.encode(t or "") for t in texts[:4]]
+    assert sum(searched) < 0.75 * sum(map(len, words))
+    monkeypatch.setattr(sentencepiece_stream, "SLICE_CHARS", 20)
+    pieces.known.clear()
+    pieces.older.clear()
+    assert [i.tolist() for i in sentencepiece_stream.encode_all(pieces, texts)] == [sp.encode(t or "") for t in texts]
+
+
 def test_decoding_any_ids(pieces):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rng = random.Random(5)
