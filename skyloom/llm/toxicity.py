@@ -21,6 +21,7 @@ import math
 from collections.abc import Iterator
 from functools import partial
 from itertools import islice
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from skyloom.llm.work import hold, map_arrow
 TOXIC_ROWS, ORDINARY_ROWS, ROW_BYTES = 4000, 6000, 1 << 15
 DICTIONARY_CHARS = 3000
 CONTRAST, DEVIATIONS = 10.0, 1.5
-# Bytes of the runs that are counted, with as many bytes before them as a beginning has.
+# Bytes of the runs that are counted, with as many bytes before them as a beginning has; powers of two of counters.
 RUNS, BEGINNING = (5, 6, 8, 12, 24), 6
 COUNTERS, SEEN, COUNTERS_AT_ONCE = 1 << 22, 1 << 26, 1 << 18
 BASE_BYTES, ADDED_BYTES, LEAST_BYTES = 4096, 8192, 512
@@ -48,6 +49,10 @@ SLICE_CHARS = 1 << 20
 PIECE, WORDS, STEP = 32, 4, 2
 # Windows compressed in one call, and texts cut into windows together.
 BATCH, TEXTS = 4000, 100
+# Windows whose difference a Python worker keeps.
+KNOWN_WINDOWS = 100_000
+_known: dict[bytes, int] = {}
+_known_of: list[Model] = []
 
 
 class Model:
@@ -87,7 +92,19 @@ class Model:
         at = np.stack([size.cumsum() - size, size], axis=1)
         framed = zstandard.BufferWithSegments(lead + (tail + lead).join(windows) + tail, at.tobytes())
         ordinary, toxic = (compress(framed, threads=1) for compress in self._compressors())
-        return [len(a) - len(b) for a, b in zip(ordinary, toxic)]
+        return list(map(sub, map(len, ordinary), map(len, toxic)))
+
+    def saved(self, windows: list[bytes]) -> list[int]:
+        """The differences of windows; those met before are looked up."""
+        if _known_of != [self] or len(_known) > KNOWN_WINDOWS:
+            _forget()
+            _known_of.append(self)
+        found = list(map(_known.get, windows))
+        new = list({w for w, d in zip(windows, found) if d is None})
+        if new:
+            _known.update(zip(new, self.differences(new)))
+            found = list(map(_known.__getitem__, windows))
+        return found
 
     def features(self, text: str | None) -> np.ndarray:
         return self.features_of([text])[0]
@@ -101,7 +118,8 @@ class Model:
 
         def count() -> None:
             rows = np.repeat(*np.array(owner, np.int64).reshape(-1, 2).T)
-            np.add.at(counts, (rows, np.clip(np.array(self.differences(waiting), np.int64), 0, most)), 1)
+            cells = rows * (most + 1) + np.clip(np.array(self.saved(waiting), np.int64), 0, most)
+            counts[:] += np.bincount(cells, minlength=counts.size).reshape(counts.shape)
             waiting.clear()
             owner.clear()
 
@@ -118,32 +136,34 @@ class Model:
 
 def _windows(text: str) -> Iterator[list[bytes]]:
     """Overlapping windows of a lower-cased text, as lists of bounded length."""
-    before: list[bytes] = []
+    whole = b""
     for start in range(0, len(text), SLICE_CHARS):
-        before = _cut(before, text, start)
+        whole = _cut(whole, text, start)
         last = start + SLICE_CHARS >= len(text)
-        n = len(before)
+        # where the words begin, and one place more than the length after the last
+        begins = np.r_[0, np.flatnonzero(np.frombuffer(whole, np.uint8) == 32) + 1, len(whole) + 1]
+        n = len(begins) - 1 if whole else 0
         # the windows that more words follow, and of the last words one that reaches the end
         many = max(0, -(-(n - WORDS) // STEP)) + (last and n > 0)
-        whole = b" ".join(before)
-        begins = np.cumsum([0, *map(len, before)]) + np.arange(n + 1)
         ends = begins[np.minimum(np.arange(many) * STEP + WORDS, n)] - 1
-        spans = list(zip(begins[: many * STEP : STEP].tolist(), ends.tolist()))
+        windows = [whole[b:e] for b, e in zip(begins[: many * STEP : STEP].tolist(), ends.tolist())]
         for at in range(0, max(many, 1), BATCH):
-            yield [whole[b:e] for b, e in spans[at : at + BATCH]]
-        before = before[many * STEP :]
+            yield windows[at : at + BATCH]
+        whole = whole[begins[many * STEP] :] if many * STEP < n else b""
 
 
-def _cut(before: list[bytes], text: str, start: int) -> list[bytes]:
-    """The words carried over and those of the next slice, long ones in pieces."""
+def _cut(before: bytes, text: str, start: int) -> bytes:
+    """The words carried over and those of the next slice, long ones in pieces, with a space between words."""
     words = text[start : start + SLICE_CHARS].lower().encode().split()
     if max(map(len, words), default=0) > PIECE:
         words = [w[at : at + PIECE] for w in words for at in range(0, len(w), PIECE)]
-    return before + words
+    return b" ".join([before, *words] if before else words)
 
 
-def _keeps_nothing() -> None:
-    """What ``hold`` calls: windows are not looked up, but what other operators keep is to go."""
+def _forget() -> None:
+    """Drops the differences kept; ``hold`` calls it when another operator takes the worker."""
+    _known.clear()
+    _known_of.clear()
 
 
 def _features_of(model: Model, column: pa.Array) -> np.ndarray:
@@ -153,7 +173,7 @@ def _features_of(model: Model, column: pa.Array) -> np.ndarray:
 
 
 def _features(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
-    hold("toxicity", _keeps_nothing)
+    hold("toxicity", _forget)
     for batch in batches:
         rows = _features_of(model.value, batch.column(0)).tolist() if batch.num_rows else []
         yield pa.RecordBatch.from_arrays(
@@ -162,7 +182,7 @@ def _features(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[p
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
-    hold("toxicity", _keeps_nothing)
+    hold("toxicity", _forget)
     known: Model | None = model.value
     for batch in batches:
         score = np.zeros(batch.num_rows)
@@ -185,7 +205,7 @@ def _runs(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     for i in range(BEGINNING):
         whole = (whole ^ x[i : i + n]) * np.uint64(0xBF58476D1CE4E5B9)
         whole = whole ^ (whole >> np.uint64(31))
-    return (run % np.uint64(COUNTERS)).astype(np.int64), (whole % np.uint64(SEEN)).astype(np.int64)
+    return (run & np.uint64(COUNTERS - 1)).astype(np.int64), (whole & np.uint64(SEEN - 1)).astype(np.int64)
 
 
 def _plain(text: str) -> bytes:
@@ -197,11 +217,21 @@ def _counted(texts: list[bytes], length: int) -> np.ndarray:
     seen, counts = np.zeros(SEEN >> 3, np.uint8), np.zeros(COUNTERS, np.int32)
     for text in texts:
         run, whole = _runs(text, length)
-        whole, first = np.unique(whole, return_index=True)
+        # each hash once, with the first place that has it
+        order = np.sort(whole << 32 | np.arange(len(whole)))
+        whole, first = order >> 32, order & 0xFFFFFFFF
+        once = np.r_[True, whole[1:] != whole[:-1]][: len(whole)]
+        whole, first = whole[once], first[once]
         byte, bit = whole >> 3, np.left_shift(1, whole & 7).astype(np.uint8)
         new = (seen[byte] & bit) == 0
-        np.bitwise_or.at(seen, byte[new], bit[new])
-        np.add.at(counts, run[first[new]], 1)
+        if not new.any():
+            continue
+        # the bits are in order, so those of one byte stand together
+        byte, bit = byte[new], bit[new]
+        starts = np.flatnonzero(np.r_[True, byte[1:] != byte[:-1]])
+        seen[byte[starts]] |= np.bitwise_or.reduceat(bit, starts)
+        at, times = np.unique(run[first[new]], return_counts=True)
+        counts[at] += times.astype(np.int32)
     return counts
 
 
@@ -326,7 +356,7 @@ def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _keep(batches: Iterator[pa.RecordBatch], model: Broadcast, at: int) -> Iterator[pa.RecordBatch]:
-    hold("toxicity", _keeps_nothing)
+    hold("toxicity", _forget)
     known: Model | None = model.value
     for batch in batches:
         if known is None or not batch.num_rows:

@@ -383,6 +383,36 @@ def test_windows_of_several_texts_are_compressed_in_one_call(monkeypatch):
         assert np.array_equal(row, np.log1p(np.array(plain))) and np.array_equal(row, model.features(text))
 
 
+def test_windows_met_before_are_not_compressed_again(monkeypatch):
+    parts = b"the and of with " * 40, b" horrid nasty thing " + b"x" * 16, b" pleasant sunny day " + b"x" * 16
+    model, other = toxicity.Model(*parts), toxicity.Model(parts[0], parts[2], parts[1])
+    calls, differences = [], toxicity.Model.differences
+    monkeypatch.setattr(toxicity.Model, "differences", lambda m, w: calls.append(len(w)) or differences(m, w))
+    texts = ["horrid day with the nasty thing of the pleasant day"] * 30
+    first, swapped, n = model.features_of(texts), other.features_of(texts), len(calls)
+    assert sum(calls) == 2 * 4 and np.array_equal(first, np.repeat(first[:1], 30, axis=0))
+    assert not np.array_equal(first, swapped)
+    assert np.array_equal(other.features_of(texts), swapped) and len(calls) == n
+    monkeypatch.setattr(toxicity, "KNOWN_WINDOWS", 2)
+    assert np.array_equal(model.features_of(texts), first) and len(toxicity._known) == 4
+    toxicity._forget()
+    assert not toxicity._known and not toxicity._known_of
+
+
+def test_beginnings_are_counted_once():
+    rng = random.Random(5)
+    texts = [bytes(rng.choices(b"abc ", k=rng.randint(0, 300))) for _ in range(60)] + [b"", b"ab"]
+    for length in (5, 12):
+        seen, plain = set(), Counter()
+        for text in texts:
+            for run, whole in zip(*(x.tolist() for x in toxicity._runs(text, length))):
+                if whole not in seen:
+                    seen.add(whole)
+                    plain[run] += 1
+        counts = toxicity._counted(texts, length)
+        assert {int(i): int(counts[i]) for i in np.flatnonzero(counts)} == plain
+
+
 def test_training_dictionaries_takes_little_memory():
     rng = random.Random(2)
     words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 7))) for _ in range(150)]
