@@ -1,29 +1,34 @@
 """Phrase collocations per language, mined by SON partitioning.
 
-Pass 1 mines every shard completely: a shard is a run of Arrow batches of about ``shard_chars`` characters, its
-phrases of 1 to 5 words are counted level by level (a phrase is counted only where its first words were locally
-frequent), and a phrase is locally frequent when ``count * n >= support * n_shard`` for its language: the support
-lowered in proportion to the shard's words. A phrase frequent in the whole table is locally frequent in at least one
-shard, so the union of locally frequent phrases holds every frequent phrase, and it is closed under prefixes.
-Each shard also reports its slack, one less than its lowered support: a candidate that a shard did not report occurs
-there at most that often, so a candidate whose reported counts plus the slack of the other shards stay under the
-support is not frequent and is left out (the rest stays closed under prefixes). Pass 2 counts the remaining candidates
-exactly: when their number is within ``broadcast_phrases`` they go to every task and are matched level by level; beyond it every shard's phrase counts are joined with the candidates by Spark. Scores, cuts,
-the drop of phrases inside longer ones and the ranking are DataFrame operations, the scores exact in decimal(38, 0).
-
-With an absolute support of 100 on a very large table, the lowered support falls to one and candidates approach all
-phrases; the joined path then carries the count.
+Pass 1 mines every shard completely. The table has a fixed number of shards, dealt by a hash of the text, so the
+lowered support (the support divided by the number of shards) does not fall as the table grows: a phrase counted
+``support`` times has at least that share in one of the shards. A shard is spread over all tasks and counted by Spark,
+level by level: a phrase of k words is counted in a shard only where the two phrases of k - 1 words in it were frequent
+there. Phrases are counted as hashes of 62 bits beside two bits of the shard, so a row is two numbers; the hashes
+frequent at a level go to the tasks as a filter of bounded size, which may let others pass but never leaves out one.
+Each shard that does not report a phrase holds it at most as often as one less than the lowered support: a phrase whose
+reported counts plus that slack of the other shards stay under the support is left out (the rest stays closed under
+prefixes). Pass 2 counts the remaining candidates by their words: what a filter or a collision of hashes lets pass in
+pass 1 has its own count here and is dropped by the support. Within the texts that a task counts together (about
+``shard_chars`` characters), phrases are told apart by their 64-bit hashes. Scores, cuts, the drop of phrases inside
+longer ones and the ranking are DataFrame operations, the scores exact in decimal(38, 0).
+
+The rows of pass 1 are at most the words of the table at each level, and those frequent at most a share of them fixed by
+the lowered support; where a very large table fills the filter, more phrases are counted, each still exactly.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
+from hashlib import blake2b
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from skyloom.llm.work import map_arrow, stored
@@ -33,21 +38,28 @@ PIECE_SEPARATORS = ".,;:!?\x0a\x0b\x0c\x0d"
 LONGEST = 5
 SUPPORT = 100
 TOP = 2000
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
+# Shards, whose number takes the two lowest bits of a hash; characters counted together in a task; 64-bit words of a filter.
+SHARDS = 4
 SHARD_CHARS = 16 << 20
-BROADCAST_PHRASES = 2_000_000
+BROADCAST_PHRASES = 1 << 21
 
 _TOKEN = re.compile(r"[^\x20\x09.,;:!?\x0a-\x0d]+|[.,;:!?\x0a-\x0d]")
-_WORD_JAVA = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 _SEPARATORS = list(PIECE_SEPARATORS)
-_COUNTED = T.StructType(
-    [T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()), T.StructField("f", T.LongType()),
-     T.StructField("slack", T.LongType())]
-)
+_HASHED = "key long, f long"
+_COUNTED = "lang string, phrase string, f long"
 _BATCH_ROWS = 200_000
-
-
+# Bytes: 0 of a word, 1 between words, 2 between pieces; A-Z lower-cased.
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b" \t")] = 1
+_KIND[list(PIECE_SEPARATORS.encode())] = 2
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+# Words of more bytes are hashed one by one.
+_SHORT = 64
+_ODD, _ODDER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+# ``words_of``, ``mine`` and ``Matcher`` are the same counts in memory, on words instead of hashes.
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Words of the texts (already lower-cased) and the number of the piece of each; texts never share a piece."""
     tokens = pd.Series(_TOKEN.findall("\n".join(texts)), dtype=object)
@@ -141,78 +153,151 @@ class Matcher:
                 yield names[i], int(found[i])
 
 
-def _shards(batches: Iterator[pa.RecordBatch], shard_chars: int) -> Iterator[dict[str, list[str]]]:
-    """Texts by language, in shards of about ``shard_chars`` characters."""
-    shard: dict[str, list[str]] = {}
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _ODDER
+    return h ^ (h >> np.uint64(29))
+
+
+def _hash_of(data: bytes) -> int:
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little")
+
+
+class Words:
+    """Words of texts of one language as 64-bit hashes; ``data`` holds their bytes, lower-cased."""
+
+    def __init__(self, texts: list[str], lang: str) -> None:
+        x = _LOWER[np.frombuffer("\n".join(texts).encode(), np.uint8)]
+        kind = _KIND[x]
+        edges = np.flatnonzero(np.diff(np.r_[False, kind == 0, False].view(np.int8)))
+        self.data, self.begin, self.end = x.tobytes(), edges[::2], edges[1::2]
+        self.piece = np.cumsum(kind == 2, dtype=np.int64)[self.begin]
+        size = self.end - self.begin
+        h = np.full(len(size), _hash_of(lang.encode()), np.uint64)
+        at = np.flatnonzero(size <= _SHORT)
+        for k in range(_SHORT):
+            at = at[size[at] > k]
+            if len(at) == 0:
+                break
+            h[at] = (h[at] ^ x[self.begin[at] + k]) * _ODD
+            h[at] ^= h[at] >> np.uint64(32)
+        for i in np.flatnonzero(size > _SHORT).tolist():
+            h[i] ^= np.uint64(_hash_of(self.data[self.begin[i] : self.end[i]]))
+        self.hashes = _mixed(h)
+
+    def levels(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 1 to 5 words: a hash for every place that has as many words from it on, and where one piece holds them."""
+        h = self.hashes
+        for k in range(1, LONGEST + 1):
+            m = len(self.hashes) - k + 1
+            if m <= 0:
+                return
+            if k > 1:
+                h = _mixed((h[:m] + np.uint64(k)) * _ODD + self.hashes[k - 1 :])
+            yield h, self.piece[:m] == self.piece[k - 1 :]
+
+    def phrase(self, at: int, k: int) -> str:
+        return b" ".join(self.data[self.begin[at] : self.end[at + k - 1]].split()).decode()
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], shard_chars: int) -> Iterator[dict[tuple[str, int], list[str]]]:
+    """Texts by language and shard, about ``shard_chars`` characters at a time."""
+    block: dict[tuple[str, int], list[str]] = {}
     size = 0
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            shard.setdefault(lang, []).append(text)
+        for lang, shard, text in zip(*(c.to_pylist() for c in batch.columns)):
+            block.setdefault((lang, shard), []).append(text)
             size += len(text)
             if size >= shard_chars:
-                yield shard
-                shard, size = {}, 0
-    if shard:
-        yield shard
-
-
-def _out(rows: list[tuple[str, str | None, int, int]]) -> pa.RecordBatch:
-    lang, phrase, f, slack = zip(*rows) if rows else ((), (), (), ())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(f, pa.int64()),
-         pa.array(slack, pa.int64())],
-        ["lang", "phrase", "f", "slack"],
-    )
-
-
-def _batched(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    """Rows in Arrow batches of at most ``_BATCH_ROWS``, so a shard's output never stands whole in memory."""
-    chunk = []
-    for row in rows:
-        chunk.append(row)
-        if len(chunk) >= _BATCH_ROWS:
-            yield _out(chunk)
-            chunk = []
-    if chunk:
-        yield _out(chunk)
-
-
-def _local(batches, totals: dict[str, int], support: int, shard_chars: int):
-    """Pass 1: locally frequent phrases of each shard, or all with ``support=0``.
-
-    A row without phrase gives the shard's slack for its language: one less than its lowered support, the most
-    that a phrase missing from the shard's rows can occur in it.
-    """
+                yield block
+                block, size = {}, 0
+    if block:
+        yield block
+
+
+def _passes(keys: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
+    """Whether keys may be among those a filter was made of; without a filter all may."""
+    if bits is None:
+        return np.ones(len(keys), bool)
+    held = bits[(keys & np.uint64(len(bits) - 1)).astype(np.int64)]
+    return (held >> (keys >> np.uint64(50) & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _filter(keys: DataFrame, longs: int) -> Broadcast | None:
+    """A filter of the column ``key`` for the tasks, of as many 64-bit words as there are keys or ``longs`` at most."""
+    if longs <= 0:
+        return None
+    size = 1 << (max(1, min(keys.count(), longs)).bit_length() - 1)
+    slots = keys.groupBy(F.expr(f"key & {size - 1}L").alias("slot")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(shiftrightunsigned(key, 50) & 63 as int)))").alias("held")
+    ).toArrow()
+    bits = np.zeros(size, np.uint64)
+    bits[slots.column("slot").to_numpy()] = slots.column("held").to_numpy().view(np.uint64)
+    return keys.sparkSession.sparkContext.broadcast(bits)
+
+
+def _value(bits: Broadcast | None) -> np.ndarray | None:
+    return None if bits is None else bits.value
+
+
+def _keys(words: Words, shard: int, level: int, bits: np.ndarray | None) -> np.ndarray:
+    """Keys of the phrases of ``level`` words whose parts of one word less pass the filter."""
+    passing = None
+    for k, (h, whole) in enumerate(words.levels(), start=1):
+        key = (h & ~np.uint64(SHARDS - 1)) | np.uint64(shard)
+        if k == level:
+            return key[whole if passing is None else whole & passing[:-1] & passing[1:]]
+        if k == level - 1:
+            passing = _passes(key, bits)
+    return np.zeros(0, np.uint64)
+
+
+def _local(batches, level: int, frequent: Broadcast | None, shard_chars: int):
+    """Pass 1: hashes of the phrases of ``level`` words in the shards, with their counts in each block of texts."""
+    bits = _value(frequent)
+    for block in _blocks(batches, shard_chars):
+        found = [_keys(Words(texts, lang), shard, level, bits) for (lang, shard), texts in block.items()]
+        key, f = np.unique(np.concatenate(found), return_counts=True)
+        for at in range(0, len(key), _BATCH_ROWS):
+            part = slice(at, at + _BATCH_ROWS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[part].view(np.int64)), pa.array(f[part].astype(np.int64))], ["key", "f"]
+            )
+
+
+def _matched(batches, candidates: Broadcast | None, shard_chars: int):
+    """Pass 2: counts of the candidates in each block of texts; a row without phrase counts the words of a language."""
+    bits = _value(candidates)
 
     def rows():
-        for shard in _shards(batches, shard_chars):
-            for lang, texts in shard.items():
-                words, piece = words_of(texts)
-                if len(words) == 0:
-                    continue
-                least = max(1, -(-support * len(words) // totals[lang])) if support else 1
-                yield lang, None, 0, least - 1
-                for p, c in mine(words, piece, least):
-                    yield lang, p, c, least - 1
+        for block in _blocks(batches, shard_chars):
+            for (lang, _), texts in block.items():
+                words = Words(texts, lang)
+                if len(words.hashes):
+                    yield lang, None, len(words.hashes)
+                before = np.ones(len(words.hashes), bool)
+                for k, (h, whole) in enumerate(words.levels(), start=1):
+                    key = h // np.uint64(SHARDS)
+                    # candidates are closed under prefixes
+                    before = whole & before[: len(h)]
+                    at = np.flatnonzero(before)
+                    at = at[_passes(key[at], bits)]
+                    before = np.zeros(len(h), bool)
+                    before[at] = True
+                    _, first, f = np.unique(h[at], return_index=True, return_counts=True)
+                    for i, c in zip(at[first].tolist(), f.tolist()):
+                        yield lang, words.phrase(i, k), c
 
     yield from _batched(rows())
 
 
-def _matched(batches, known, shard_chars: int):
-    """Pass 2: counts of the candidates in each shard."""
-    matchers: dict[str, Matcher] = {}
-
-    def rows():
-        for shard in _shards(batches, shard_chars):
-            for lang, texts in shard.items():
-                if lang not in known.value:
-                    continue
-                if lang not in matchers:
-                    matchers[lang] = Matcher(known.value[lang])
-                for p, c in matchers[lang].counts(*words_of(texts)):
-                    yield lang, p, c, 0
-
-    yield from _batched(rows())
+def _batched(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows in Arrow batches of at most ``_BATCH_ROWS``, so a block's output never stands whole in memory."""
+    while chunk := list(islice(rows, _BATCH_ROWS)):
+        lang, phrase, f = zip(*chunk)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(f, pa.int64())],
+            ["lang", "phrase", "f"],
+        )
 
 
 def phrase_counts(
@@ -223,39 +308,37 @@ def phrase_counts(
 ) -> tuple[DataFrame, DataFrame]:
     """(frequent, totals): exact counts f of every phrase of 1 to 5 words with f >= support, and words n, per lang.
 
-    ``texts`` has columns lang (not null) and text (lower-cased, not null).
+    ``texts`` has columns lang and text, both not null; A-Z are lower-cased here. ``broadcast_phrases`` bounds the
+    filters, in 64-bit words; with 0 there is none and every phrase is counted.
     """
-    spark = texts.sparkSession
-    totals = stored(
-        texts.groupBy("lang").agg(F.sum(F.regexp_count("text", F.lit(_WORD_JAVA))).cast("long").alias("n")),
-        "collocation-totals",
-    )
-    # one row per language
-    n_of = {r["lang"]: r["n"] for r in totals.where("n > 0").collect()}
-    local = stored(
-        map_arrow(texts, partial(_local, totals=n_of, support=support, shard_chars=shard_chars), _COUNTED),
-        "collocation-local",
+    rows = texts.select("lang", F.pmod(F.xxhash64("text"), F.lit(SHARDS)).cast("int").alias("shard"), "text")
+    least = max(1, -(-support // SHARDS))
+    local, bits = [], None
+    for level in range(1, LONGEST + 1):
+        hashed = map_arrow(rows, partial(_local, level=level, frequent=bits, shard_chars=shard_chars), _HASHED)
+        found = stored(
+            hashed.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= least), f"collocation-local-{level}"
+        )
+        local.append(found)
+        if level < LONGEST:
+            if found.isEmpty():
+                break
+            bits = _filter(found, broadcast_phrases)
+    # a shard that does not report a phrase holds it at most least - 1 times
+    phrase_key = F.expr(f"shiftrightunsigned(key, {SHARDS.bit_length() - 1})").alias("key")
+    reported = reduce(DataFrame.unionAll, local).groupBy(phrase_key).agg(
+        F.sum("f").alias("f"), F.count("f").alias("shards")
     )
-    # A candidate missing from a shard's rows occurs there at most that shard's slack times; one whose counts found
-    # plus the slack of the shards that miss it stay under the support cannot be frequent, and is left out.
-    slack = local.where(F.col("phrase").isNull()).groupBy("lang").agg(F.sum("slack").alias("all_slack"))
-    found = local.where(F.col("phrase").isNotNull()).groupBy("lang", "phrase").agg(
-        F.sum("f").alias("found"), F.sum("slack").alias("found_slack")
+    bound = F.col("f") + (SHARDS - F.col("shards")) * (least - 1)
+    candidates = stored(reported.where(bound >= support).select("key"), "collocation-candidates")
+    matched = partial(_matched, candidates=_filter(candidates, broadcast_phrases), shard_chars=shard_chars)
+    counted = stored(
+        map_arrow(rows, matched, _COUNTED).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        .where(F.col("phrase").isNull() | (F.col("f") >= support)),
+        "collocation-frequent",
     )
-    bound = F.col("found") + F.col("all_slack") - F.col("found_slack")
-    candidates = stored(found.join(slack, "lang").where(bound >= support).select("lang", "phrase"), "collocation-candidates")
-    many = candidates.count()
-    if many <= broadcast_phrases:
-        known: dict[str, list[str]] = {}
-        for r in candidates.toLocalIterator():
-            known.setdefault(r["lang"], []).append(r["phrase"])
-        shipped = spark.sparkContext.broadcast(known)
-        counted = map_arrow(texts, partial(_matched, known=shipped, shard_chars=shard_chars), _COUNTED)
-    else:
-        every = map_arrow(texts, partial(_local, totals=n_of, support=0, shard_chars=shard_chars), _COUNTED)
-        counted = every.where(F.col("phrase").isNotNull()).join(candidates, ["lang", "phrase"])
-    frequent = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
-    return stored(frequent, "collocation-frequent"), totals
+    totals = counted.where(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
+    return counted.where(F.col("phrase").isNotNull()), totals
 
 
 def collocations(
@@ -277,7 +360,7 @@ def collocations(
     """
     texts = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-        F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER).alias("text"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
     frequent, totals = phrase_counts(texts, support, **options)
     with_words = frequent.withColumn("words", F.split("phrase", " ")).withColumn("k", F.size("words"))

@@ -49,3 +49,44 @@ def test_small_shards_and_odd_rows(spark):
     assert set(whole["lang"]) == {"en", "und"}
     assert list(whole[whole.lang == "en"]["rank"]) == list(range(1, len(whole[whole.lang == "en"]) + 1))
     assert collocations.collocations(empty(spark)).count() == 0
+
+
+def test_hashed_words_and_phrases_are_those_of_the_texts():
+    texts = ["Alpha  beta\tgamma; alpha beta", "", "É" * 40 + " É x" + "y" * 300 + "\n" + "x" * 64 + " " + "x" * 65, "ß\r a.b"]
+    hashed = collocations.Words(texts, "en")
+    words, piece = collocations.words_of([t.translate({c: c + 32 for c in range(65, 91)}) for t in texts])
+    assert [hashed.phrase(i, 1) for i in range(len(words))] == list(words)
+    assert len(set(hashed.hashes.tolist())) == len(set(words))
+    counts = Counter()
+    for k, (h, whole) in enumerate(hashed.levels(), start=1):
+        by_hash = {int(h[i]): hashed.phrase(i, k) for i in np.flatnonzero(whole)}
+        assert len(set(by_hash.values())) == len(by_hash)
+        counts.update(hashed.phrase(i, k) for i in np.flatnonzero(whole))
+    assert counts == dict(collocations.mine(words, piece, 1))
+    assert not set(collocations.Words(texts, "de").hashes.tolist()) & set(hashed.hashes.tolist())
+
+
+def test_local_support_does_not_fall_with_the_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(300)]
+    texts = [" ".join(vocab[int(rng.paretovariate(0.7)) % 300] for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    df = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    keep, local = collocations.stored, {}
+
+    def counted(rows, name):
+        out = keep(rows, name)
+        if "local" in name:
+            local[name] = sorted(tuple(r) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(collocations, "stored", counted)
+    results, mined = [], []
+    for options in ({"shard_chars": 1 << 30}, {"shard_chars": 300}, {"broadcast_phrases": 2}, {"broadcast_phrases": 0}):
+        local = {}
+        frequent, totals = collocations.phrase_counts(df.select("lang", "text"), 40, **options)
+        results.append(({r["phrase"]: r["f"] for r in frequent.collect()}, totals.collect()[0]["n"]))
+        mined.append(local)
+        assert all(f >= 10 for rows in local.values() for _, f in rows)
+    words, piece = collocations.words_of(texts)
+    assert results == [(dict(collocations.mine(words, piece, 40)), len(words))] * 4
+    assert mined[0] == mined[1] and len(mined[0]) > 2
