@@ -54,7 +54,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 # Words kept by the last stage's workers, fixed value: they run beside an executor's heap that four stages have filled.
-KNOWN_WORDS = 100_000
+KNOWN_WORDS = 25_000
 
 STAGES = [
     ("toxicity", drop_toxic),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -61,11 +62,20 @@ def hold(name: str, release: Callable[[], None]) -> None:
     global _holder
     if _holder is not None and _holder[0] != name:
         _holder[1]()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
     _holder = (name, release)
 
 
+def give_back() -> None:
+    """Returns freed memory of this process to the system; the C library keeps what numpy has freed otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass  # a C library without it
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared work folder and read back.
 

@@ -18,6 +18,7 @@ import corpus_pipeline
 from compare import differences, duck
 from skyloom.llm import (
     language_id, licenses, mixing, oracle, quality, queries, sentencepiece_stream, token_counts, toxicity,
+    work,
 )
 from tests.llm.test_simhash import brute_force
 
@@ -508,3 +509,19 @@ def test_pieces_keep_a_bounded_number_of_words(pieces):
     finally:
         pieces.room = room
     assert all(isinstance(key, int) for key in pieces.pairs)
+
+
+def test_a_worker_gives_back_what_another_operator_freed():
+    def anonymous():
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("Anonymous:")) >> 10
+
+    work.hold("first", int)
+    arrays = [np.ones(2000, np.uint8) for _ in range(100_000)]
+    few = arrays[::5000]  # hold the heap's end, so that the C library does not shrink it by itself
+    few.append(arrays[-1])
+    before = anonymous()
+    del arrays
+    work.hold("second", int)
+    assert anonymous() < before - 100 and len(few) == 21
+    work.hold("first", int)
