@@ -8,8 +8,8 @@ as the backpointers of all boundaries in the window lead through one boundary, t
 
 No piece runs from a character into the white space after it, so words are such stretches between agreed boundaries;
 ids of words already seen are looked up. A backpointer depends on the text before its boundary only, so the new words of
-several texts are searched in order, and a word goes on from the boundaries it shares with the word before it. Ids equal
-those of the sentencepiece library, byte fallback included.
+several texts are searched side by side, one boundary of each at a time (``Search``). What no piece splits into parts of
+the longest piece goes through the stream. Ids equal those of the sentencepiece library, byte fallback included.
 """
 
 from __future__ import annotations
@@ -60,6 +60,7 @@ class Pieces:
         self.unknown = sp.unk_id()
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
         self.decoded = [self._bytes_of(sp, i) for i in range(n)]
+        self.search = Search(self)
         # by the numbers of both pieces: strings as keys would take several times the memory
         self.pairs: dict[int, bool] = {}
         # ids of words met before, as the bytes of 32-bit integers; when full, they become the older ones
@@ -159,6 +160,164 @@ class Pieces:
         return [self.unknown]
 
 
+class Table:
+    """Small numbers by keys of 62 bits, in open addressing; ``room`` keys fill half of it at most."""
+
+    def __init__(self, room: int):
+        bits = (2 * room).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values, self.n = np.full(1 << bits, -1), np.full(1 << bits, -1, np.int32), 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key stands, or the free place for it."""
+        slot = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        held = self.keys[slot]
+        rest = np.flatnonzero((held != keys) & (held >= 0))
+        while len(rest):
+            slot[rest] = slot[rest] + 1 & self.mask
+            held = self.keys[slot[rest]]
+            rest = rest[(held != keys[rest]) & (held >= 0)]
+        return slot
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key; -1 for one that is not held."""
+        return self.values[self._slots(keys)]
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Adds keys that are not held yet, each once."""
+        self.n += len(keys)
+        while len(keys):
+            slot, first = np.unique(self._slots(keys), return_index=True)
+            self.keys[slot], self.values[slot] = keys[first], values[first]
+            keys, values = np.delete(keys, first), np.delete(values, first)
+
+
+class Search:
+    """The backpointers of many words at once: numbers of pieces in arrays instead of strings."""
+
+    def __init__(self, p: Pieces):
+        self.p = p
+        self.names = ["", *p.ids]
+        self.ids = np.array([0, *p.ids.values()], np.int32)
+        # 1 for a character that is no piece
+        self.size = np.array([max(1, len(name)) for name in self.names])
+        # a character's place in the alphabet of the pieces, 0 for others
+        alphabet = sorted({c for name in self.names for c in name})
+        self.letter = np.zeros(0x110000, np.int32)
+        self.letter[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
+        self.letters = len(alphabet) + 1
+        letter_of = dict(zip(alphabet, range(1, self.letters)))
+        self.alone = np.array([True, *(c in p.ids for c in alphabet)])
+        # pieces from their last character on: what a node and the letter before it lead to, and the piece at a node
+        nodes, piece_at, steps = {"": 0}, [0], {}
+        for number, name in enumerate(self.names[1:], 1):
+            for k in range(1, len(name) + 1):
+                end = name[-k:]
+                if end not in nodes:
+                    steps[nodes[end[1:]] * self.letters + letter_of[end[0]]] = nodes[end] = len(piece_at)
+                    piece_at.append(0)
+            piece_at[nodes[name]] = number
+        self.piece_at = np.array(piece_at)
+        self.steps = Table(len(steps))
+        self.steps.put(*(np.fromiter(x, np.int64, len(steps)) for x in (steps.keys(), steps.values())))
+        self.joints = Table(len(p.joints))
+        joints = np.array([letter_of[a] * self.letters + letter_of[b] for a, b in p.joints], np.int64)
+        self.joints.put(joints, np.ones(len(joints), np.int32))
+        self.pairs = Table(KNOWN_PAIRS)
+
+    def _stable(self, keys: np.ndarray) -> np.ndarray:
+        """Whether pairs are stable, by the number of the left piece in the upper and of the right one in the lower half."""
+        found = self.pairs.get(keys)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new, which = np.unique(keys[missing], return_inverse=True)
+            stable = np.zeros(len(new), np.int32)
+            for i, key in enumerate(new.tolist()):
+                left, right = self.names[key >> 32], self.names[key & 0xFFFFFFFF]
+                stable[i] = self.p.merged(left + right) == ([left, right] if left else [right])
+            found[missing] = stable[which]
+            if self.pairs.n + len(new) > KNOWN_PAIRS:
+                self.pairs = Table(KNOWN_PAIRS)
+            self.pairs.put(new[:KNOWN_PAIRS], stable[:KNOWN_PAIRS])
+        return found > 0
+
+    def _pieces(self, letter: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(end, number) of every piece that ends at a character and begins in its part, the shorter ones first."""
+        end = np.flatnonzero(letter)
+        node = np.zeros(len(end), np.int64)
+        ends, numbers, size = [end[:0]], [end[:0]], 0
+        while len(end):
+            node = self.steps.get(node * self.letters + letter[end - size])
+            here = node > 0
+            node, end, size = node[here].astype(np.int64), end[here], size + 1
+            number = self.piece_at[node]
+            ends.append(end[number > 0])
+            numbers.append(number[number > 0])
+            more = place[end] >= size
+            node, end = node[more], end[more]
+        return np.concatenate(ends), np.concatenate(numbers)
+
+    def _last(self, letter: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The number of the piece that ends with each character in the encoding up to there; 0 if none can."""
+        end, number = self._pieces(letter, place)
+        order = np.argsort(place[end].astype(np.int16), kind="stable")
+        end, number = end[order], number[order]
+        before = end - self.size[number]
+        first = place[end] + 1 == self.size[number]
+        last = np.zeros(len(letter), np.int64)
+        start = 0
+        for stop in np.cumsum(np.bincount(place[end])).tolist():
+            left = np.where(first[start:stop], 0, last[before[start:stop]])
+            at = np.flatnonzero(first[start:stop] | (left > 0))
+            # of several the shortest, which comes last here
+            at = at[self._stable(left[at] << 32 | number[start + at])][::-1]
+            last[end[start + at]] = number[start + at]
+            start = stop
+        return last
+
+    def found(self, words: list[str]) -> list[bytes | None]:
+        """Ids of words; None for one that is to be searched by itself.
+
+        That is one with a part longer than the longest piece. Parts are what no piece runs over: no piece holds two
+        characters that are no joint.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = sizes.cumsum()
+        starts = ends - sizes
+        code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        letter = self.letter[code].astype(np.int64)
+        begins = letter == 0
+        begins[1:] |= begins[:-1]
+        begins[starts] = True
+        # the parts of words that are not short anyway
+        inner = np.flatnonzero(~begins & np.repeat(sizes > self.p.longest, sizes))
+        begins[inner] = self.joints.get(letter[inner - 1] * self.letters + letter[inner]) < 0
+        opened = np.flatnonzero(begins)
+        place = np.arange(len(letter)) - np.repeat(opened, np.diff(opened, append=len(letter)))
+        fits = np.logical_and.reduceat(self.alone[letter] & (place < self.p.longest), starts)
+        if not fits.all():
+            some = iter(self.found([w for w, f in zip(words, fits.tolist()) if f]) if fits.any() else ())
+            return [next(some) if f else None for f in fits.tolist()]
+        last = self._last(letter, place)
+        # how many ids stand for a character: one where a piece ends, found from the end of each part back
+        many = np.zeros(len(letter), np.int64)
+        at = np.append(opened[1:], len(letter)) - 1
+        while len(at):
+            many[at] = 1
+            at = at[place[at] >= self.size[last[at]]]
+            at = at - self.size[last[at]]
+        others = {c: self.p.ids_of(chr(c)) for c in np.unique(code[letter == 0]).tolist()}
+        for c, ids in others.items():
+            many[code == c] = len(ids)
+        stops = many.cumsum()
+        ids = np.repeat(self.ids[last], many)
+        for c, its in others.items():
+            at = np.flatnonzero(code == c)
+            ids[(stops[at] - len(its))[:, None] + np.arange(len(its))] = its
+        joined, stops = ids.tobytes(), (4 * stops[ends - 1]).tolist()
+        return [joined[a:b] for a, b in zip([0, *stops], stops)]
+
+
 class Stream:
     """Encodes a text handed over in parts; memory is bounded by the window of undecided boundaries."""
 
@@ -259,15 +418,30 @@ def _found(p: Pieces, words: Iterable[str]) -> dict[str, bytes]:
 
 
 def _new_words(p: Pieces, words: set[str]) -> dict[str, bytes]:
-    """Ids of words, looked up or found part by part; they are kept."""
+    """Ids of words, looked up or searched; they are kept."""
     out: dict[str, bytes] = {}
-    parts: dict[str, list[str]] = {}
+    new = []
     for word in words:
         ids = p.word(word)
         if ids is None:
-            parts[word] = _parts(p, word)
+            new.append(word)
         else:
             out[word] = ids
+    rest = []
+    if new:
+        for word, ids in zip(new, p.search.found(new)):
+            if ids is None:
+                rest.append(word)
+            else:
+                out[word] = ids
+                p.keep(word, ids)
+    return out | _by_parts(p, rest) if rest else out
+
+
+def _by_parts(p: Pieces, words: list[str]) -> dict[str, bytes]:
+    """Ids of words, their parts looked up or found one by one; they are kept."""
+    out: dict[str, bytes] = {}
+    parts = {word: _parts(p, word) for word in words}
     known: dict[str, bytes] = {}
     missing = set()
     for part in {part for several in parts.values() for part in several}:

@@ -125,6 +125,33 @@ def test_new_words_go_on_from_shared_boundaries(pieces, monkeypatch):
     assert [i.tolist() for i in sentencepiece_stream.encode_all(pieces, texts)] == [sp.encode(t or "") for t in texts]
 
 
+def test_new_words_are_searched_side_by_side(pieces, monkeypatch):
+    """No short word is searched by itself; ids are the library's, whatever number of checked pairs is kept."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = random.Random(11)
+    words = ["".join(rng.choices("aeinorstlé日本▁1.-\n\x07𐍈", k=rng.randint(1, pieces.longest))) for _ in range(400)]
+    texts = [" ".join(words[:150]), "", " ".join(words[150:]), "\x07", "𐍈\n" * 40]
+    alone = []
+    monkeypatch.setattr(sentencepiece_stream.Pieces, "extend", lambda self, *a: alone.append(a))
+    for most in (sentencepiece_stream.KNOWN_PAIRS, 5):
+        monkeypatch.setattr(sentencepiece_stream, "KNOWN_PAIRS", most)
+        monkeypatch.setattr(pieces.search, "pairs", sentencepiece_stream.Table(most))
+        pieces.known.clear()
+        pieces.older.clear()
+        found = sentencepiece_stream.encode_all(pieces, texts)
+        assert [ids.tolist() for ids in found] == [sp.encode(t) for t in texts]
+        assert not alone and pieces.search.pairs.n <= most
+
+
+def test_a_table_of_numbers():
+    rng = random.Random(3)
+    keys = np.array(rng.sample(range(1 << 62), 300) + list(range(200)))
+    table = sentencepiece_stream.Table(500)
+    for part in range(0, 500, 100):
+        table.put(keys[part : part + 100], np.arange(part, part + 100))
+        assert table.get(keys).tolist() == [i if i < part + 100 else -1 for i in range(500)]
+
+
 def test_decoding_any_ids(pieces):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rng = random.Random(5)
