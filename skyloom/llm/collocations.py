@@ -23,7 +23,6 @@ import re
 from collections.abc import Iterator
 from functools import partial, reduce
 from hashlib import blake2b
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -48,6 +47,8 @@ _SEPARATORS = list(PIECE_SEPARATORS)
 _HASHED = "key long, f long"
 _COUNTED = "lang string, phrase string, f long"
 _BATCH_ROWS = 200_000
+# Bytes of phrases cut out of the texts at once.
+_PHRASE_BYTES = 4 << 20
 # Bytes: 0 of a word, 1 between words, 2 between pieces; A-Z lower-cased.
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(b" \t")] = 1
@@ -170,19 +171,27 @@ class Words:
         kind = _KIND[x]
         edges = np.flatnonzero(np.diff(np.r_[False, kind == 0, False].view(np.int8)))
         self.data, self.begin, self.end = x.tobytes(), edges[::2], edges[1::2]
-        self.piece = np.cumsum(kind == 2, dtype=np.int64)[self.begin]
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.begin]
         size = self.end - self.begin
-        h = np.full(len(size), _hash_of(lang.encode()), np.uint64)
-        at = np.flatnonzero(size <= _SHORT)
+        # in order of length, so the words that have one more byte stand together
+        order = np.argsort(np.minimum(size, _SHORT + 1).astype(np.int16), kind="stable")[::-1]
+        shorter = np.cumsum(np.bincount(np.minimum(size, _SHORT + 1), minlength=_SHORT + 2))
+        some = order[len(size) - shorter[_SHORT] :]
+        begin, ordered = self.begin[some], np.full(len(some), _hash_of(lang.encode()), np.uint64)
         for k in range(_SHORT):
-            at = at[size[at] > k]
-            if len(at) == 0:
+            many = int(shorter[_SHORT] - shorter[k])
+            if many == 0:
                 break
-            h[at] = (h[at] ^ x[self.begin[at] + k]) * _ODD
-            h[at] ^= h[at] >> np.uint64(32)
+            part = ordered[:many]
+            part ^= x[begin[:many] + k]
+            part *= _ODD
+            part ^= part >> np.uint64(32)
+        h = np.full(len(size), _hash_of(lang.encode()), np.uint64)
+        h[some] = ordered
         for i in np.flatnonzero(size > _SHORT).tolist():
             h[i] ^= np.uint64(_hash_of(self.data[self.begin[i] : self.end[i]]))
         self.hashes = _mixed(h)
+        self.plain: np.ndarray | None = None
 
     def levels(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For 1 to 5 words: a hash for every place that has as many words from it on, and where one piece holds them."""
@@ -198,6 +207,29 @@ class Words:
     def phrase(self, at: int, k: int) -> str:
         return b" ".join(self.data[self.begin[at] : self.end[at + k - 1]].split()).decode()
 
+    def phrases(self, at: np.ndarray, k: int) -> Iterator[tuple[slice, pa.Array]]:
+        """The phrases of ``k`` words at places in one piece each, and which of the places: about a few MB at a time."""
+        if self.plain is None:
+            # the words with one space after each, so a phrase stands there as it is
+            x = np.frombuffer(self.data + b" ", np.uint8).copy()
+            held = _KIND[x] == 0
+            x[self.end], held[self.end] = 32, True
+            self.plain = x[held]
+        after = np.cumsum(self.end - self.begin + 1)
+        stop = after[at + k - 1] - 1
+        start = after[at] - 1 - (self.end[at] - self.begin[at])
+        upto = np.cumsum(stop - start)
+        done = 0
+        while done < len(at):
+            before = upto[done - 1] if done else 0
+            next_ = max(done + 1, int(np.searchsorted(upto, before + _PHRASE_BYTES)))
+            part = slice(done, min(next_, done + _BATCH_ROWS))
+            done = part.stop
+            offsets = np.r_[0, upto[part] - before].astype(np.int32)
+            places = np.arange(offsets[-1]) + np.repeat(start[part] - offsets[:-1], np.diff(offsets))
+            data = pa.py_buffer(self.plain[places])
+            yield part, pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), data)
+
 
 def _blocks(batches: Iterator[pa.RecordBatch], shard_chars: int) -> Iterator[dict[tuple[str, int], list[str]]]:
     """Texts by language and shard, about ``shard_chars`` characters at a time."""
@@ -267,37 +299,31 @@ def _local(batches, level: int, frequent: Broadcast | None, shard_chars: int):
 def _matched(batches, candidates: Broadcast | None, shard_chars: int):
     """Pass 2: counts of the candidates in each block of texts; a row without phrase counts the words of a language."""
     bits = _value(candidates)
-
-    def rows():
-        for block in _blocks(batches, shard_chars):
-            for (lang, _), texts in block.items():
-                words = Words(texts, lang)
-                if len(words.hashes):
-                    yield lang, None, len(words.hashes)
-                before = np.ones(len(words.hashes), bool)
-                for k, (h, whole) in enumerate(words.levels(), start=1):
-                    key = h // np.uint64(SHARDS)
-                    # candidates are closed under prefixes
-                    before = whole & before[: len(h)]
-                    at = np.flatnonzero(before)
-                    at = at[_passes(key[at], bits)]
-                    before = np.zeros(len(h), bool)
-                    before[at] = True
-                    _, first, f = np.unique(h[at], return_index=True, return_counts=True)
-                    for i, c in zip(at[first].tolist(), f.tolist()):
-                        yield lang, words.phrase(i, k), c
-
-    yield from _batched(rows())
-
-
-def _batched(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    """Rows in Arrow batches of at most ``_BATCH_ROWS``, so a block's output never stands whole in memory."""
-    while chunk := list(islice(rows, _BATCH_ROWS)):
-        lang, phrase, f = zip(*chunk)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(f, pa.int64())],
-            ["lang", "phrase", "f"],
-        )
+    for block in _blocks(batches, shard_chars):
+        for (lang, _), texts in block.items():
+            words = Words(texts, lang)
+            if len(words.hashes):
+                yield _rows(lang, pa.nulls(1, pa.string()), np.array([len(words.hashes)]))
+            before = np.ones(len(words.hashes), bool)
+            for k, (h, whole) in enumerate(words.levels(), start=1):
+                key = h // np.uint64(SHARDS)
+                # candidates are closed under prefixes
+                before = whole & before[: len(h)]
+                at = np.flatnonzero(before)
+                at = at[_passes(key[at], bits)]
+                before = np.zeros(len(h), bool)
+                before[at] = True
+                codes, found = pd.factorize(h[at])
+                # codes go by first appearance
+                first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
+                f = np.bincount(codes, minlength=len(found))
+                for part, phrases in words.phrases(at[first], k):
+                    yield _rows(lang, phrases, f[part])
+
+
+def _rows(lang: str, phrases: pa.Array, f: np.ndarray) -> pa.RecordBatch:
+    langs = pa.repeat(pa.scalar(lang, pa.string()), len(phrases))
+    return pa.RecordBatch.from_arrays([langs, phrases, pa.array(f, pa.int64())], ["lang", "phrase", "f"])
 
 
 def phrase_counts(

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from compare import differences, duck
 from skyloom.llm import collocations, queries
@@ -66,6 +67,28 @@ def test_hashed_words_and_phrases_are_those_of_the_texts():
     assert not set(collocations.Words(texts, "de").hashes.tolist()) & set(hashed.hashes.tolist())
 
 
+def test_phrases_are_cut_out_together(monkeypatch):
+    """The phrases that pass 2 writes, as Arrow texts from one gather; no place is cut out by itself."""
+    texts = ["Alpha \t beta\tgamma; alpha beta", "", "É" * 40 + " É  x" + "y" * 300 + "\n" + "x" * 64, "ß\r a.b", " 日本 Z"]
+    hashed = collocations.Words(texts, "en")
+    for most in (collocations._PHRASE_BYTES, 30):
+        monkeypatch.setattr(collocations, "_PHRASE_BYTES", most)
+        for k, (_, whole) in enumerate(hashed.levels(), start=1):
+            at = np.flatnonzero(whole)[::-1]
+            found = list(hashed.phrases(at, k))
+            assert [p for _, phrases in found for p in phrases.to_pylist()] == [hashed.phrase(i, k) for i in at]
+            assert [i for part, _ in found for i in at[part]] == list(at)
+    assert not list(collocations.Words([], "en").phrases(np.zeros(0, int), 1))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 5, "shard": [0] * 5, "text": texts})
+    monkeypatch.delattr(collocations.Words, "phrase")
+    counts = Counter()
+    for rows in collocations._matched([batch], None, 100):
+        for row in rows.to_pylist():
+            counts[row["phrase"]] += row["f"]
+    words, piece = collocations.words_of([t.translate({c: c + 32 for c in range(65, 91)}) for t in texts])
+    assert counts == {None: len(words), **dict(collocations.mine(words, piece, 1))}
+
+
 def test_local_support_does_not_fall_with_the_blocks(spark, monkeypatch):
     rng = random.Random(6)
     vocab = [f"w{i}" for i in range(300)]
